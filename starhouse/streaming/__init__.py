@@ -1,0 +1 @@
+"""The engine is batch only: its sources are landed files and its refresh is a full one."""
