@@ -20,13 +20,16 @@ def clean_text(col: Column) -> Column:
     """Drop control characters, then outer spaces; null becomes ''.
 
     The order matters: in ``'Africa \\r'`` the space is only an outer one once
-    the carriage return is gone.
+    the carriage return is gone. The test in front of the replacement makes the
+    usual case, nothing to drop, several times cheaper.
     """
-    return F.trim(F.translate(F.coalesce(col, F.lit("")), _CONTROL, ""))
+    text = F.coalesce(col, F.lit(""))
+    visible = F.when(has_control_chars(text), F.translate(text, _CONTROL, "")).otherwise(text)
+    return F.trim(visible)
 
 
-def has_control_chars(col: Column) -> Column:
-    return F.coalesce(col, F.lit("")).rlike(r"\p{Cntrl}")
+def has_control_chars(text: Column) -> Column:
+    return text.rlike(r"\p{Cntrl}")
 
 
 def is_blank(col: Column) -> Column:
@@ -37,19 +40,22 @@ def null_if_blank(col: Column) -> Column:
     return F.nullif(clean_text(col), F.lit(""))
 
 
-def is_year(col: Column) -> Column:
-    return clean_text(col).rlike(YEAR_PATTERN)
+# The functions below expect text that has been cleaned already.
 
 
-def is_number(col: Column) -> Column:
-    return clean_text(col).rlike(NUMBER_PATTERN)
+def is_year(text: Column) -> Column:
+    return text.rlike(YEAR_PATTERN)
 
 
-def to_year(col: Column) -> Column:
+def is_number(text: Column) -> Column:
+    return text.rlike(NUMBER_PATTERN)
+
+
+def to_year(text: Column) -> Column:
     """Four digits as SMALLINT, anything else null."""
-    return F.when(is_year(col), clean_text(col).try_cast("smallint"))
+    return F.when(is_year(text), text.try_cast("smallint"))
 
 
-def to_number(col: Column, number_type: str) -> Column:
+def to_number(text: Column, number_type: str) -> Column:
     """Plain decimal notation rounded to the type's scale, anything else null."""
-    return F.when(is_number(col), clean_text(col).try_cast(number_type))
+    return F.when(is_number(text), text.try_cast(number_type))

@@ -4,23 +4,27 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def violations(df: DataFrame, table: str, required: list[str], key: list[str]) -> DataFrame:
+def violations(
+    df: DataFrame,
+    table: str,
+    required: list[str],
+    key: list[str],
+    rules: dict[str, Column] | None = None,
+) -> DataFrame:
     """Rows (table_name, constraint_name, n_violations); zero where the constraint holds.
 
-    Two aggregates with map-side combine: null counts in one row, repeated keys
-    counted as surplus rows.
+    Two aggregates with map-side combine: one pass for null counts and row rules,
+    one for repeated keys, counted as surplus rows.
     """
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).unpivot(
-        [], required, "column_name", "n_violations"
-    )
-    nulls = nulls.select(
-        F.lit(table).alias("table_name"),
-        F.concat(F.lit("not_null:"), "column_name").alias("constraint_name"),
-        "n_violations",
+    broken = {f"not_null:{c}": F.col(c).isNull() for c in required} | (rules or {})
+    nulls = (
+        df.agg(*[F.count_if(test).alias(name) for name, test in broken.items()])
+        .unpivot([], [F.col(f"`{name}`") for name in broken], "constraint_name", "n_violations")
+        .select(F.lit(table).alias("table_name"), "constraint_name", "n_violations")
     )
     copies = df.groupBy(*key).agg((F.count("*") - 1).alias("_surplus"))
     unique = copies.agg(F.coalesce(F.sum("_surplus"), F.lit(0)).alias("n_violations")).select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.functions.text import clean_text, null_if_blank, to_number, to_year
+from starhouse.functions.text import clean_text, to_number, to_year
 from starhouse.operators.rules import first_violation
 from starhouse.profile import Profile
 from starhouse.schemas import FactSpec
@@ -19,18 +19,30 @@ def typed_staging(stg: DataFrame, spec: FactSpec) -> DataFrame:
 
     Bounds count only as a pair: if either is missing or unreadable both are null.
     """
-    low = to_number(F.col("raw_low"), spec.number_type)
-    high = to_number(F.col("raw_high"), spec.number_type)
-    paired = low.isNotNull() & high.isNotNull()
-    return stg.select(
-        null_if_blank(F.col(spec.raw_category)).alias(spec.category),
-        null_if_blank(F.col("raw_country_code")).alias("country_code"),
+    raw = [spec.raw_category, "raw_country_code", "raw_spatial_dim_type", "raw_year"]
+    raw += ["raw_numeric_value", "raw_low", "raw_high"] + (["raw_sex_code"] if spec.has_sex else [])
+    # Three projections rather than one, so no text is cleaned or parsed repeatedly.
+    text = stg.select(*[clean_text(F.col(c)).alias(c) for c in raw])
+
+    def code(column: str, name: str) -> Column:
+        return F.nullif(F.col(column), F.lit("")).alias(name)
+
+    def number(column: str, name: str) -> Column:
+        return to_number(F.col(column), spec.number_type).alias(name)
+
+    values = text.select(
+        code(spec.raw_category, spec.category),
+        code("raw_country_code", "country_code"),
         to_year(F.col("raw_year")).alias("year_val"),
-        *([null_if_blank(F.col("raw_sex_code")).alias("sex_code")] if spec.has_sex else []),
-        to_number(F.col("raw_numeric_value"), spec.number_type).alias(spec.measure),
-        F.when(paired, low).alias("low_ci"),
-        F.when(paired, high).alias("high_ci"),
-        clean_text(F.col("raw_spatial_dim_type")).alias(LEVEL),
+        *([code("raw_sex_code", "sex_code")] if spec.has_sex else []),
+        number("raw_numeric_value", spec.measure),
+        number("raw_low", "low_ci"),
+        number("raw_high", "high_ci"),
+        F.col("raw_spatial_dim_type").alias(LEVEL),
+    )
+    paired = F.col("low_ci").isNotNull() & F.col("high_ci").isNotNull()
+    return values.withColumns(
+        {bound: F.when(paired, F.col(bound)) for bound in ("low_ci", "high_ci")}
     )
 
 

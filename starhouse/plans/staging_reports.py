@@ -51,16 +51,16 @@ def text_year_range(wh: Warehouse) -> DataFrame:
 
 
 def _bad_year() -> Column:
-    return F.count_if(~is_year(F.col("raw_year"))).alias("bad_year")
+    return F.count_if(~is_year(clean_text(F.col("raw_year")))).alias("bad_year")
 
 
 def _bad_value() -> Column:
-    return F.count_if(~is_number(F.col("raw_numeric_value"))).alias("bad_numeric_value")
+    return F.count_if(~is_number(clean_text(F.col("raw_numeric_value")))).alias("bad_numeric_value")
 
 
 def _bad_bound(column: str) -> Column:
-    text = F.col(column)
-    return F.count_if(~is_number(text) & ~clean_text(text).isin("", "None"))
+    text = clean_text(F.col(column))
+    return F.count_if(~is_number(text) & ~text.isin("", "None"))
 
 
 def _empty(column: str) -> Column:
