@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.functions.text import clean_text, to_number, to_year
-from starhouse.operators.rules import first_violation
+from starhouse.functions.text import clean_text, is_number, is_year, to_number, to_year
+from starhouse.operators.rules import first_violation, rules
 from starhouse.profile import Profile
 from starhouse.schemas import FactSpec
 
@@ -14,28 +14,33 @@ from starhouse.schemas import FactSpec
 LEVEL = "spatial_dim_type"
 
 
-def typed_staging(stg: DataFrame, spec: FactSpec) -> DataFrame:
-    """Every staged row with typed columns; what does not parse is null.
-
-    Bounds count only as a pair: if either is missing or unreadable both are null.
-    """
+def _clean_columns(stg: DataFrame, spec: FactSpec) -> DataFrame:
     raw = [spec.raw_category, "raw_country_code", "raw_spatial_dim_type", "raw_year"]
     raw += ["raw_numeric_value", "raw_low", "raw_high"] + (["raw_sex_code"] if spec.has_sex else [])
-    # Three projections rather than one, so no text is cleaned or parsed repeatedly.
-    text = stg.select(*[clean_text(F.col(c)).alias(c) for c in raw])
+    return stg.select(*[clean_text(F.col(c)).alias(c) for c in raw])
+
 
-    def code(column: str, name: str) -> Column:
-        return F.nullif(F.col(column), F.lit("")).alias(name)
+def _typed_columns(text: DataFrame, spec: FactSpec, tested: bool = False) -> DataFrame:
+    """Typed columns of cleaned text; what does not parse is null.
+
+    With ``tested`` the year and value are known to be well-formed and are only
+    cast. Cleaning, parsing and pairing are separate projections, so no text is
+    cleaned or parsed repeatedly.
+    """
 
     def number(column: str, name: str) -> Column:
         return to_number(F.col(column), spec.number_type).alias(name)
 
+    year, value = F.col("raw_year"), F.col("raw_numeric_value")
+
     values = text.select(
-        code(spec.raw_category, spec.category),
-        code("raw_country_code", "country_code"),
-        to_year(F.col("raw_year")).alias("year_val"),
-        *([code("raw_sex_code", "sex_code")] if spec.has_sex else []),
-        number("raw_numeric_value", spec.measure),
+        F.col(spec.raw_category).alias(spec.category),
+        F.col("raw_country_code").alias("country_code"),
+        (year.try_cast("smallint") if tested else to_year(year)).alias("year_val"),
+        *([F.col("raw_sex_code").alias("sex_code")] if spec.has_sex else []),
+        (value.try_cast(spec.number_type) if tested else to_number(value, spec.number_type)).alias(
+            spec.measure
+        ),
         number("raw_low", "low_ci"),
         number("raw_high", "high_ci"),
         F.col("raw_spatial_dim_type").alias(LEVEL),
@@ -46,20 +51,38 @@ def typed_staging(stg: DataFrame, spec: FactSpec) -> DataFrame:
     )
 
 
+def typed_staging(stg: DataFrame, spec: FactSpec) -> DataFrame:
+    """Every staged row with typed columns; blank codes and what does not parse are null.
+
+    Bounds count only as a pair: if either is missing or unreadable both are null.
+    """
+    typed = _typed_columns(_clean_columns(stg, spec), spec)
+    codes = [k for k in spec.key if k != "year_val"]
+    return typed.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in codes})
+
+
+def parsed(stg: DataFrame, spec: FactSpec, profile: Profile) -> DataFrame:
+    """Typed country-level rows whose year and value parse.
+
+    The tests are on text, before typing: Spark moves filters below projections
+    and would otherwise repeat the typing inside them, up to generated code too
+    large for the JVM to compile.
+    """
+    text = _clean_columns(stg, spec).filter(
+        (F.col("raw_spatial_dim_type") == profile.country_level)
+        & is_year(F.col("raw_year"))
+        & is_number(F.col("raw_numeric_value"))
+    )
+    # A number can be well-formed and still too large for the column.
+    typed = _typed_columns(text, spec, tested=True)
+    return typed.filter(F.col(spec.measure).isNotNull()).drop(LEVEL)
+
+
 def _small_dims(spec: FactSpec) -> list[tuple[str, str]]:
     """(dimension, key) of the static dimensions: literal tables of a few rows."""
     return [(spec.category_dim, spec.category)] + ([("dim_sex", "sex_code")] if spec.has_sex else [])
 
 
-def parsed(typed: DataFrame, spec: FactSpec, profile: Profile) -> DataFrame:
-    """Country-level rows whose year and value parsed."""
-    return typed.filter(
-        (F.col(LEVEL) == profile.country_level)
-        & F.col("year_val").isNotNull()
-        & F.col(spec.measure).isNotNull()
-    ).drop(LEVEL)
-
-
 def referenced(rows: DataFrame, spec: FactSpec, dims: dict[str, DataFrame]) -> DataFrame:
     """Keep rows whose keys exist in every dimension (semi joins: no dim column is read).
 
@@ -75,8 +98,10 @@ def load_fact(
     stg: DataFrame, spec: FactSpec, dims: dict[str, DataFrame], profile: Profile
 ) -> DataFrame:
     """One pass from staging to fact rows, bounds included, rule violations left out."""
-    candidates = referenced(parsed(typed_staging(stg, spec), spec, profile), spec, dims)
-    return candidates.filter(first_violation(spec, profile).isNull()).select(*spec.columns)
+    rows = referenced(parsed(stg, spec, profile), spec, dims)
+    for _, broken in rules(spec, profile):
+        rows = rows.filter(~broken)
+    return rows.select(*spec.columns)
 
 
 def with_outcome(

@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starhouse.operators import quality as Q
-from starhouse.operators.loading import typed_staging
+from starhouse.operators.loading import parsed, referenced, typed_staging
 from starhouse.operators.rules import split
-from starhouse.operators.loading import parsed, referenced
 from starhouse.plans.warehouse import Warehouse
 from starhouse.schemas import COMM_FACT, HEALTH_FACT, NCD_FACT, FactSpec
 
@@ -169,7 +168,7 @@ def cross_consistency(wh: Warehouse, limit: int = 10) -> DataFrame:
 def rule_candidates(wh: Warehouse) -> DataFrame:
     """Rows the load would insert if no rule stood in the way."""
     spec = HEALTH_FACT
-    return referenced(parsed(typed(wh, spec), spec, wh.profile), spec, wh.dims())
+    return referenced(parsed(wh.stg(spec.staging), spec, wh.profile), spec, wh.dims())
 
 
 def rule_rejects(wh: Warehouse) -> DataFrame:

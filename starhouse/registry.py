@@ -17,19 +17,18 @@ from pyspark.sql import types as T
 from starhouse.functions.measures import register_sql_functions, safe_pct
 from starhouse.functions.text import clean_text
 from starhouse.operators.constraints import stacked
-from starhouse.operators.loading import build_country_dim
 from starhouse.operators.quality import duplicates
-from starhouse.plans import analytics, core, quality, reports, staging_reports, views
+from starhouse.plans import staging_reports
+from starhouse.plans.catalog import PLANS
+from starhouse.plans.landing import write_pages
 from starhouse.plans.refresh import refresh_core
 from starhouse.plans.warehouse import DerivedWarehouse, PublishedWarehouse, Warehouse
 from starhouse.profile import RETAIL
 from starhouse.schemas import (
-    COMM_FACT,
     CSV_COLUMNS,
     CSV_FILES,
     FACTS,
     HEALTH_FACT,
-    NCD_FACT,
     STATIC_DIMS,
     STG_COMM,
     STG_COUNTRY,
@@ -134,16 +133,13 @@ def src_lineage(wh: Warehouse) -> DataFrame:
     )
 
 
-def _land_pages(df: DataFrame, fields: dict[str, str], page_key: list[str], label: str) -> str:
-    """Group records into ``{"value": [...]}`` pages, one page per key, and write them as JSON.
-
-    A page holds one country of one category, which the years and sexes bound.
-    """
+def _through_pages(
+    df: DataFrame, fields: dict[str, str], label: str, constants: dict[str, str] | None = None
+) -> DataFrame:
+    """Records written as JSON pages and read back."""
     path = scratch_path(df.sparkSession, label)
-    record = F.struct(*[F.col(name).alias(key) for name, key in fields.items()])
-    pages = df.groupBy(*page_key).agg(F.collect_list(record).alias("value")).select("value")
-    pages.write.option("ignoreNullFields", True).json(path)
-    return path
+    write_pages(df, fields, path)
+    return read_pages(df.sparkSession, path, fields, constants)
 
 
 def _as_landed(wh: Warehouse, table: str) -> DataFrame:
@@ -159,42 +155,23 @@ def _as_text(df: DataFrame, kind: str) -> DataFrame:
 
 def src_json_pages(wh: Warehouse) -> DataFrame:
     """Health, NCD, communicable, country and region records read back from JSON pages."""
-    spark = wh.spark
-    health = read_pages(
-        spark,
-        _land_pages(_as_landed(wh, STG_HEALTH), HEALTH_RECORD, ["indicator_code", "country_code"], "health"),
-        HEALTH_RECORD,
-    )
-    ncd = read_pages(
-        spark,
-        _land_pages(_as_landed(wh, STG_NCD), NCD_RECORD, ["cause_code", "country_code"], "ncd"),
-        NCD_RECORD,
-    )
     urgent = _as_landed(wh, STG_COMM).filter(F.col("indicator_code") == "1-URGENT")
-    comm = read_pages(
-        spark,
-        _land_pages(urgent, COMM_RECORD, ["indicator_code", "country_code"], "comm"),
-        COMM_RECORD,
-        constants={"disease_name": "URGENT"},
-    )
-    landed = _as_landed(wh, STG_COUNTRY)
-    countries = read_pages(
-        spark, _land_pages(landed, COUNTRY_RECORD, ["country_code"], "countries"), COUNTRY_RECORD
-    )
-    named = landed.filter(F.col("parent_code").isNotNull())
-    region_rows = named.select(
-        F.col("parent_code").alias("region_code"), F.col("parent_title").alias("region_name")
-    ).distinct()
-    regions = read_pages(
-        spark, _land_pages(region_rows, REGION_RECORD, ["region_code"], "regions"), REGION_RECORD
+    countries = _as_landed(wh, STG_COUNTRY)
+    regions = (
+        countries.filter(F.col("parent_code").isNotNull())
+        .select(F.col("parent_code").alias("region_code"), F.col("parent_title").alias("region_name"))
+        .distinct()
     )
     return stacked(
         [
-            _as_text(health, "health"),
-            _as_text(ncd, "ncd"),
-            _as_text(comm, "communicable"),
-            _as_text(countries, "country"),
-            _as_text(regions, "region"),
+            _as_text(_through_pages(_as_landed(wh, STG_HEALTH), HEALTH_RECORD, "health"), "health"),
+            _as_text(_through_pages(_as_landed(wh, STG_NCD), NCD_RECORD, "ncd"), "ncd"),
+            _as_text(
+                _through_pages(urgent, COMM_RECORD, "communicable", {"disease_name": "URGENT"}),
+                "communicable",
+            ),
+            _as_text(_through_pages(countries, COUNTRY_RECORD, "country"), "country"),
+            _as_text(_through_pages(regions, REGION_RECORD, "region"), "region"),
         ]
     )
 
@@ -202,12 +179,12 @@ def src_json_pages(wh: Warehouse) -> DataFrame:
 def src_multi_indicator(wh: Warehouse) -> DataFrame:
     """One landed pull per indicator, combined into one dataset."""
     landed = _as_landed(wh, STG_HEALTH)
-    pulls = []
-    for code, *_ in wh.profile.indicators:
-        rows = landed.filter(F.col("indicator_code") == code)
-        path = _land_pages(rows, HEALTH_RECORD, ["country_code", "spatial_dim_type"], f"pull-{code}")
-        pulls.append(read_pages(wh.spark, path, HEALTH_RECORD))
-    return union_pulls(pulls)
+    return union_pulls(
+        [
+            _through_pages(landed.filter(F.col("indicator_code") == code), HEALTH_RECORD, f"pull-{code}")
+            for code, *_ in wh.profile.indicators
+        ]
+    )
 
 
 def src_static_dims(wh: Warehouse) -> DataFrame:
@@ -320,14 +297,6 @@ def fn_safe_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fn_ci_width(wh: Warehouse) -> DataFrame:
-    """Interval width of every health estimate at two places."""
-    register_sql_functions(wh.spark)
-    return wh.health.select(
-        *HEALTH_FACT.key, F.expr("fn_ci_width(low_ci, high_ci)").alias("ci_width")
-    )
-
-
 def fn_smoke(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The functions' special cases over all order lines: which inputs give null."""
     register_sql_functions(spark)
@@ -367,25 +336,6 @@ def _line_duplicates(key: list[str], limit: int) -> Job:
     return lambda spark, sf_dir: portable(duplicates(read_table(spark, sf_dir, "lineitem"), key, limit))
 
 
-def _staging_jobs() -> dict[str, Job]:
-    s = staging_reports
-    plans = {
-        "stg_row_counts": s.row_counts,
-        "stg_sample": s.samples,
-        "stg_freq_spatial": lambda wh: s.frequency(wh, STG_HEALTH, "raw_spatial_dim_type"),
-        "stg_freq_indicator": lambda wh: s.frequency(wh, STG_HEALTH, "raw_indicator_code"),
-        "stg_freq_sex": lambda wh: s.frequency(wh, STG_HEALTH, "raw_sex_code"),
-        "stg_freq_cause": lambda wh: s.frequency(wh, STG_NCD, "raw_cause_code"),
-        "stg_freq_disease": lambda wh: s.frequency(wh, STG_COMM, "raw_disease_name"),
-        "stg_year_range_text": s.text_year_range,
-        "stg_parse_health": s.parse_health,
-        "stg_parse_ncd": s.parse_ncd,
-        "stg_parse_comm": s.parse_comm,
-        "stg_missing_region": s.missing_region,
-    }
-    return {name: _job(plan) for name, plan in plans.items()}
-
-
 def _source_jobs() -> dict[str, Job]:
     plans = (
         src_csv_staging,
@@ -400,71 +350,14 @@ def _source_jobs() -> dict[str, Job]:
     return {**jobs, "refresh_core": _job(refresh_summary)}
 
 
-def _core_jobs() -> dict[str, Job]:
-    c = core
-    plans = {
-        "etl_dim_country": lambda wh: build_country_dim(wh.stg(STG_COUNTRY)),
-        "etl_fct_health": lambda wh: c.fact_measures(wh, HEALTH_FACT),
-        "etl_ci_health": lambda wh: c.fact_bounds(wh, HEALTH_FACT),
-        "etl_fct_ncd": lambda wh: c.fact_measures(wh, NCD_FACT),
-        "etl_ci_ncd": lambda wh: c.fact_bounds(wh, NCD_FACT),
-        "etl_fct_comm": lambda wh: c.fact_measures(wh, COMM_FACT),
-        "etl_ci_comm": lambda wh: c.fact_bounds(wh, COMM_FACT),
-        "etl_verify_counts": c.loaded_counts,
-        "etl_verify_indicator": lambda wh: c.loaded_by_category(wh, HEALTH_FACT),
-        "etl_verify_cause": lambda wh: c.loaded_by_category(wh, NCD_FACT),
-        "etl_verify_disease": lambda wh: c.loaded_by_category(wh, COMM_FACT),
-        "etl_surrogate_key": c.surrogate_keys,
-        "etl_reconcile": c.reconciliation,
-        "etl_constraint_check": c.constraint_report,
-        "etl_ci_key_match": c.loose_key_matches,
-    }
-    return {name: _job(plan) for name, plan in plans.items()}
-
-
-ANALYSIS = (
-    analytics.q01_yearly_trend,
-    analytics.q02_yoy_change,
-    analytics.q03_top10,
-    analytics.q04_top3_per_region,
-    analytics.q05_gap_pivot,
-    analytics.q06_indicator_pair,
-    analytics.q07_region_improvement,
-    analytics.q08_concentration,
-    analytics.q09_dense_rank,
-    analytics.q10_decliners,
-    analytics.q11_cause_trend,
-    analytics.q12_top_cause,
-    analytics.q13_cause_share,
-    analytics.q14_cross_fact,
-    analytics.q15_disease_trend,
-    analytics.q16_latest_top5,
-    analytics.q17_union_share,
-    analytics.q18_transition_ratio,
-    analytics.q19_total_burden,
-    analytics.q20_double_burden,
-)
-
-
 def jobs() -> dict[str, Job]:
-    quality_jobs = {name: _job(check) for name, check in quality.CHECKS.items()}
-    # Loaded facts hold no duplicates; the raw lines do, so the check runs on those.
-    quality_jobs["dq_dups_health"] = _line_duplicates(["l_orderkey", "l_linenumber"], 20)
-    quality_jobs["dq_dups_ncd"] = _line_duplicates(["l_orderkey", "l_suppkey"], 10)
-    quality_jobs["dq_dups_comm"] = _line_duplicates(["l_orderkey", "l_partkey"], 10)
     return {
         **_source_jobs(),
-        **_staging_jobs(),
-        **_core_jobs(),
-        **{name: _job(view) for name, view in views.VIEWS.items()},
-        **{plan.__name__: _job(plan) for plan in ANALYSIS},
-        **quality_jobs,
-        "dq_control_chars": _job(staging_reports.control_characters),
+        **{name: _job(plan) for name, plan in PLANS.items()},
+        # Loaded facts hold no duplicates; the raw lines do, so the check runs on those.
+        "dq_dups_health": _line_duplicates(["l_orderkey", "l_linenumber"], 20),
+        "dq_dups_ncd": _line_duplicates(["l_orderkey", "l_suppkey"], 10),
+        "dq_dups_comm": _line_duplicates(["l_orderkey", "l_partkey"], 10),
         "fn_safe_pct": fn_safe_pct,
-        "fn_ci_width": _job(fn_ci_width),
-        "fn_pct_of_global": _job(analytics.region_vs_global),
         "fn_smoke": fn_smoke,
-        "tr_validate_rejects": _job(quality.rule_rejects),
-        "tr_validate_accepted": _job(quality.rule_accepted),
-        **{name: _job(report) for name, report in reports.REPORTS.items()},
     }
