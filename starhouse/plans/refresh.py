@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starhouse.operators.constraints import stacked, violations
 from starhouse.operators.loading import build_country_dim, load_fact
 from starhouse.operators.rules import first_violation
+from starhouse.parallel import run_together
 from starhouse.plans.warehouse import PublishedWarehouse, Stage, Warehouse
 from starhouse.profile import Profile
-from starhouse.schemas import FACTS, STATIC_DIMS, STG_COUNTRY
+from starhouse.schemas import FACTS, STATIC_DIMS, STG_COUNTRY, FactSpec
 from starhouse.sinks.files import write_fact, write_table
-from starhouse.sinks.versions import new_version, publish, version_path
+from starhouse.sinks.versions import new_version, publish, published_summary, version_path
 from starhouse.sources.literal import static_dim
 
+SUMMARY_SCHEMA = "countries_loaded BIGINT, facts_loaded BIGINT, deaths_loaded BIGINT"
 COUNTRY_REQUIRED = ["country_code", "country_name", "region_code", "region_name"]
 
 
@@ -60,19 +64,27 @@ def refresh_core(
     version = new_version()
     path = version_path(root, version)
     dims = {name: static_dim(spark, profile, name) for name in STATIC_DIMS}
-    for name, dim in dims.items():
-        write_table(dim.coalesce(1), f"{path}/{name}")
-    write_table(build_country_dim(stage(STG_COUNTRY)), f"{path}/dim_country")
     written = PublishedWarehouse(spark, profile, root, version=version)
-    dims["dim_country"] = written.country()
-    for spec in FACTS:
-        write_fact(load_fact(stage(spec.staging), spec, dims, profile), spec, f"{path}/{spec.name}")
+
+    def write_static() -> None:
+        for name, dim in dims.items():
+            write_table(dim.coalesce(1), f"{path}/{name}")
+
+    def write_countries() -> None:
+        write_table(build_country_dim(stage(STG_COUNTRY)), f"{path}/dim_country")
+
+    def write_one(spec: FactSpec) -> None:
+        references = {**dims, "dim_country": written.country()}
+        facts = load_fact(stage(spec.staging), spec, references, profile)
+        write_fact(facts, spec, f"{path}/{spec.name}")
+
+    run_together(spark, [write_static, write_countries])
+    run_together(spark, [partial(write_one, spec) for spec in FACTS])
 
     # One row per check: a fixed, small number whatever the data.
     failed = core_violations(written).filter(F.col("n_violations") > 0).collect()
     if failed:
         listed = ", ".join(f"{r.table_name} {r.constraint_name} ({r.n_violations})" for r in failed)
         raise RefreshRejected(f"version {version} not published: {listed}")
-    summary = core_summary(written)
-    publish(summary, root, version)
-    return summary if verbose else None
+    publish(core_summary(written), root, version)
+    return published_summary(spark, root, version, SUMMARY_SCHEMA) if verbose else None

@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from starhouse.operators.loading import build_country_dim, load_fact
+from starhouse.parallel import run_together
 from starhouse.profile import Profile
 from starhouse.schemas import (
     COMM_FACT,
@@ -77,11 +79,14 @@ class DerivedWarehouse(Warehouse):
         super().__init__(spark, profile)
         self._stage = stage
         self._paths: dict[str, str] = {}
-        self._lock = threading.RLock()
+        self._locks: dict[str, threading.Lock] = {}
+        self._guard = threading.Lock()
 
     def _once(self, table: str, write: Callable[[str], None]) -> str:
         """Path of a table, written by the first caller; a failed write is not remembered."""
-        with self._lock:
+        with self._guard:
+            lock = self._locks.setdefault(table, threading.Lock())
+        with lock:
             if table not in self._paths:
                 path = scratch_path(self.spark, table)
                 write(path)
@@ -106,6 +111,11 @@ class DerivedWarehouse(Warehouse):
         path = self._once(spec.name, write)
         return self.spark.read.schema(spec.schema).parquet(path)
 
+    def prepare(self) -> None:
+        """Build all tables now, the facts side by side."""
+        self.country()
+        run_together(self.spark, [partial(self.fact, spec) for spec in FACTS])
+
 
 class PublishedWarehouse(Warehouse):
     """The current version under ``root``; ``stage`` is only needed for staging reports."""

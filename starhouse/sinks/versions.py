@@ -37,3 +37,9 @@ def published_version(spark: SparkSession, root: str) -> str | None:
     except AnalysisException:
         return None  # nothing published yet
     return markers.agg(F.max("version")).first()[0]
+
+
+def published_summary(spark: SparkSession, root: str, version: str, schema: str) -> DataFrame:
+    """What :func:`publish` kept with a version."""
+    markers = spark.read.schema(f"{schema}, version string").json(f"{root.rstrip('/')}/published")
+    return markers.filter(F.col("version") == version).drop("version")
