@@ -61,8 +61,10 @@ def typed_staging(stg: DataFrame, spec: FactSpec) -> DataFrame:
     return typed.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in codes})
 
 
-def parsed(stg: DataFrame, spec: FactSpec, profile: Profile) -> DataFrame:
-    """Typed country-level rows whose year and value parse.
+def parsed(
+    stg: DataFrame, spec: FactSpec, profile: Profile, with_bounds: bool = False
+) -> DataFrame:
+    """Typed country-level rows whose year and value parse, optionally both bounds too.
 
     The tests are on text, before typing: Spark moves filters below projections
     and would otherwise repeat the typing inside them, up to generated code too
@@ -73,6 +75,8 @@ def parsed(stg: DataFrame, spec: FactSpec, profile: Profile) -> DataFrame:
         & is_year(F.col("raw_year"))
         & is_number(F.col("raw_numeric_value"))
     )
+    if with_bounds:
+        text = text.filter(is_number(F.col("raw_low")) & is_number(F.col("raw_high")))
     # A number can be well-formed and still too large for the column.
     typed = _typed_columns(text, spec, tested=True)
     return typed.filter(F.col(spec.measure).isNotNull()).drop(LEVEL)

@@ -33,8 +33,7 @@ def fact_bounds(wh: Warehouse, spec: FactSpec) -> DataFrame:
     """Step two: fill the bounds of already loaded rows from staging, by business key."""
     null_bound = F.lit(None).cast(spec.number_type)
     target = fact_measures(wh, spec).withColumns({c: null_bound for c in BOUNDS})
-    staged = parsed(wh.stg(spec.staging), spec, wh.profile)
-    updates = staged.filter(F.col("low_ci").isNotNull() & F.col("high_ci").isNotNull())
+    updates = parsed(wh.stg(spec.staging), spec, wh.profile, with_bounds=True)
     return keyed_update(target, updates, spec.key, BOUNDS).select(*spec.key, *BOUNDS)
 
 

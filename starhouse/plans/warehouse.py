@@ -14,6 +14,7 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from starhouse.operators.loading import build_country_dim, load_fact
 from starhouse.parallel import run_together
@@ -43,6 +44,17 @@ class Warehouse:
     def __init__(self, spark: SparkSession, profile: Profile):
         self.spark = spark
         self.profile = profile
+        self._frames: dict[str, DataFrame] = {}
+
+    def _frame(self, name: str, read: Callable[[], DataFrame]) -> DataFrame:
+        """Tables never change under a name, so one DataFrame per table is enough:
+        its files are listed and its schema resolved once."""
+        if name not in self._frames:
+            self._frames[name] = read()
+        return self._frames[name]
+
+    def _parquet(self, name: str, schema: StructType | str, path: str) -> DataFrame:
+        return self._frame(name, lambda: self.spark.read.schema(schema).parquet(path))
 
     def stg(self, table: str) -> DataFrame:
         raise NotImplementedError
@@ -54,7 +66,9 @@ class Warehouse:
         raise NotImplementedError
 
     def dim(self, name: str) -> DataFrame:
-        return self.country() if name == "dim_country" else static_dim(self.spark, self.profile, name)
+        if name == "dim_country":
+            return self.country()
+        return self._frame(name, lambda: static_dim(self.spark, self.profile, name))
 
     def dims(self) -> dict[str, DataFrame]:
         return {name: self.dim(name) for name in (*STATIC_DIMS, "dim_country")}
@@ -95,13 +109,13 @@ class DerivedWarehouse(Warehouse):
 
     def stg(self, table: str) -> DataFrame:
         path = self._once(table, lambda p: write_table(self._stage(table), p))
-        return self.spark.read.schema(staging_schema(table)).parquet(path)
+        return self._parquet(table, staging_schema(table), path)
 
     def country(self) -> DataFrame:
         path = self._once(
             "dim_country", lambda p: write_table(build_country_dim(self.stg(STG_COUNTRY)), p)
         )
-        return self.spark.read.schema(COUNTRY_SCHEMA).parquet(path)
+        return self._parquet("dim_country", COUNTRY_SCHEMA, path)
 
     def fact(self, spec: FactSpec) -> DataFrame:
         def write(path: str) -> None:
@@ -109,7 +123,7 @@ class DerivedWarehouse(Warehouse):
             write_fact(rows, spec, path)
 
         path = self._once(spec.name, write)
-        return self.spark.read.schema(spec.schema).parquet(path)
+        return self._parquet(spec.name, spec.schema, path)
 
     def prepare(self) -> None:
         """Build all tables now, the facts side by side."""
@@ -141,16 +155,16 @@ class PublishedWarehouse(Warehouse):
         return self._stage(table)
 
     def country(self) -> DataFrame:
-        return self.spark.read.schema(COUNTRY_SCHEMA).parquet(f"{self._path}/dim_country")
+        return self._parquet("dim_country", COUNTRY_SCHEMA, f"{self._path}/dim_country")
 
     def dim(self, name: str) -> DataFrame:
         if name == "dim_country":
             return self.country()
         schema = static_dim(self.spark, self.profile, name).schema
-        return self.spark.read.schema(schema).parquet(f"{self._path}/{name}")
+        return self._parquet(name, schema, f"{self._path}/{name}")
 
     def fact(self, spec: FactSpec) -> DataFrame:
-        return self.spark.read.schema(spec.schema).parquet(f"{self._path}/{spec.name}")
+        return self._parquet(spec.name, spec.schema, f"{self._path}/{spec.name}")
 
 
 __all__ = ["FACTS", "DerivedWarehouse", "PublishedWarehouse", "Stage", "Warehouse"]
