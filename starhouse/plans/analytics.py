@@ -60,6 +60,12 @@ def with_country(df: DataFrame, wh: Warehouse, *columns: str) -> DataFrame:
     return df.join(wh.country().select("country_code", *columns), "country_code")
 
 
+def few_with_country(top: DataFrame, wh: Warehouse, *columns: str) -> DataFrame:
+    """The same for the result of a limit: those few rows are sent to the country
+    dimension, which is read in place and never shuffled."""
+    return with_country(F.broadcast(top), wh, *columns)
+
+
 def with_label(df: DataFrame, wh: Warehouse, dim: str, code: str, label: str) -> DataFrame:
     """Label from a static dimension (a few literal rows)."""
     return df.join(F.broadcast(wh.dim(dim).select(code, label)), code)
@@ -111,7 +117,7 @@ def q03_top10(wh: Warehouse) -> DataFrame:
         .limit(10)
     )
     return (
-        with_country(top, wh, "country_name", "region_name")
+        few_with_country(top, wh, "country_name", "region_name")
         .orderBy(metric().desc(), code())
         .select(
             "country_name", "region_name", F.round(metric(), 1).alias(f"life_expectancy_{p.late_year}")
@@ -169,7 +175,7 @@ def q06_indicator_pair(wh: Warehouse) -> DataFrame:
     order = [F.desc("life_expectancy"), code()]
     top = indicator_pairs(wh).orderBy(*order).limit(20)
     return (
-        with_country(top, wh, "country_name", "region_name")
+        few_with_country(top, wh, "country_name", "region_name")
         .orderBy(*order)
         .select("country_name", "region_name", "life_expectancy", "adult_mortality")
     )
@@ -198,7 +204,7 @@ def mortality_concentration(wh: Warehouse, n: int) -> DataFrame:
     p = wh.profile
     rows = health_slice(wh, [p.adult_mortality], [p.late_year]).select("country_code", "metric_value")
     top = concentration(rows, "country_code", "metric_value", n)
-    return with_country(top, wh, "country_name", "region_name").select(
+    return few_with_country(top, wh, "country_name", "region_name").select(
         "country_name",
         "region_name",
         F.round(metric(), 1).alias("adult_mortality"),
@@ -284,7 +290,9 @@ def top_cause(wh: Warehouse, n: int) -> DataFrame:
         .limit(n)
     )
     labelled = with_label(top, wh, "dim_cause", "cause_code", "cause_name")
-    return with_country(labelled, wh, "country_name", "region_name").orderBy(deaths.desc(), code())
+    return few_with_country(labelled, wh, "country_name", "region_name").orderBy(
+        deaths.desc(), code()
+    )
 
 
 def q12_top_cause(wh: Warehouse) -> DataFrame:
@@ -329,7 +337,7 @@ def q14_cross_fact(wh: Warehouse) -> DataFrame:
     order = [death_count().desc(), code()]
     top = cross_fact(wh).orderBy(*order).limit(20)
     return (
-        with_country(top, wh, "country_name", "region_name")
+        few_with_country(top, wh, "country_name", "region_name")
         .orderBy(*order)
         .select(
             "country_name",
@@ -367,7 +375,7 @@ def q16_latest_top5(wh: Warehouse) -> DataFrame:
     )
     labelled = with_label(top, wh, "dim_disease", "disease_code", "disease_name")
     return (
-        with_country(labelled, wh, "country_name", "region_name")
+        few_with_country(labelled, wh, "country_name", "region_name")
         .orderBy("disease_name", "rn")
         .select(
             "disease_name", "country_name", "region_name", "year_val", F.round(death_count(), 0).alias("deaths")
@@ -450,7 +458,7 @@ def total_burden(wh: Warehouse, n: int) -> DataFrame:
         .limit(n)
     )
     return (
-        with_country(top, wh, "country_name", "region_name")
+        few_with_country(top, wh, "country_name", "region_name")
         .orderBy(*order)
         .select(
             "country_name",

@@ -65,7 +65,7 @@ def rp10_decliners15(wh: Warehouse) -> DataFrame:
     order = [F.asc("le_change"), A.code()]
     worst = A.decliners(wh).orderBy(*order).limit(15)
     return (
-        A.with_country(worst, wh, "country_name", "region_name")
+        A.few_with_country(worst, wh, "country_name", "region_name")
         .orderBy(*order)
         .select(
             "country_name", "region_name", f"le_{p.base_year}", f"le_{p.late_year}", "le_change"

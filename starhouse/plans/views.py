@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starhouse.functions.measures import percent
+from starhouse.functions.measures import percent, register_sql_functions
 from starhouse.plans.warehouse import Warehouse
+from starhouse.schemas import CSV_COLUMNS, FACTS
 
 
 def health_enriched(wh: Warehouse) -> DataFrame:
@@ -161,14 +162,12 @@ VIEWS: dict[str, Callable[[Warehouse], DataFrame]] = {
 }
 
 
-def publish_views(wh: Warehouse) -> list[str]:
-    """Make tables and views available to SQL under their names, replacing older ones."""
-    for spec_name, df in {
-        "fct_health_estimate": wh.health,
-        "fct_ncd_deaths": wh.ncd,
-        "fct_communicable_deaths": wh.comm,
-        **wh.dims(),
-        **{name: view(wh) for name, view in VIEWS.items()},
-    }.items():
-        df.createOrReplaceTempView(spec_name)
+def publish_views(wh: Warehouse, staging: bool = False) -> list[str]:
+    """Make tables, views and functions available to SQL by name, replacing older ones."""
+    tables = {spec.name: wh.fact(spec) for spec in FACTS} | wh.dims()
+    if staging:
+        tables |= {name: wh.stg(name) for name in CSV_COLUMNS}
+    for name, df in (tables | {name: view(wh) for name, view in VIEWS.items()}).items():
+        df.createOrReplaceTempView(name)
+    register_sql_functions(wh.spark)
     return list(VIEWS)

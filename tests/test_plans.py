@@ -83,6 +83,18 @@ def test_without_broadcast_the_country_join_shuffles(spark, retail):
     assert text.count("BroadcastHashJoin") == 2  # the literal dimensions
 
 
+def test_top_rows_go_to_the_country_dimension(spark, retail):
+    """Few rows are broadcast to the dimension; the dimension itself is not shuffled."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("q03_top10", "q06_indicator_pair", "q14_cross_fact", "q16_latest_top5", "q19_total_burden"):
+            text = physical(QUESTIONS[name](retail))
+            assert re.search(r"BroadcastHashJoin \[country_code[^]]*\], \[country_code[^]]*\], Inner, BuildLeft", text), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_loading_code_stays_small_enough_to_compile(spark, retail):
     """The JVM does not compile methods above 8,000 bytes of bytecode."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
