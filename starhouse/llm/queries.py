@@ -6,19 +6,44 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starhouse.llm import language_crf
+from starhouse.llm import dart_minhash, edit_matching, language_crf, line_spread, pfair_mix
 from starhouse.llm.common import table
 
 Job = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_edit_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_matching.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return pfair_mix.mixed(docs).select("doc_id", "source", "slot", "block", "place")
+
+
+def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op6_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_crf.predict(table(spark, sf_dir, "documents"))
 
 
+def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_spread.without_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def jobs() -> dict[str, Job]:
-    return {f.__name__: f for f in (op6_language_crf,)}
+    chosen = (
+        op1_edit_matching,
+        op2_pfair_mix,
+        op4_dart_minhash,
+        op6_language_crf,
+        op7_line_spread,
+    )
+    return {f.__name__: f for f in chosen}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_line_spread": line_spread.oracle()}
