@@ -24,3 +24,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def document_key(text: Column) -> Column:
+    """A digest of id and text. Rows that agree in both share it, and with it their results,
+    so null and repeated ids need no care elsewhere."""
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), text)))

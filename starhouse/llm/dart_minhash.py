@@ -46,7 +46,7 @@ COORDINATES = ROWS * BANDS
 #: Four bits of each coordinate, sixteen coordinates in one long, bound the similarity of a pair.
 _LONGS = COORDINATES // 16
 _NIBBLES = 0x1111111111111111
-_CHARS_AT_ONCE = 2_000_000
+_CHARS_AT_ONCE = 500_000
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 

@@ -15,10 +15,10 @@ the named columns are read; all of ``docs`` are returned by ``without_boilerplat
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.llm.common import stored
+from starhouse.llm.common import document_key, stored, text_or_empty
 
 MIN_SITES = 10
 #: Sketches of 2**10 buckets: a standard error of about 3 %.
@@ -27,23 +27,15 @@ SKETCH_BITS = 10
 MARGIN = 0.1
 
 
-def _document_key(text: Column) -> Column:
-    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), text)))
-
-
-def _text(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(""))
-
-
 def _lines(docs: DataFrame, text: str, site: str) -> DataFrame:
     """A narrow row for each line that is not blank: two 64-bit hashes stand for its text."""
     line = F.trim("_line")
     return (
         docs.select(
             F.col("doc_id").alias("_id"),
-            _document_key(_text(text)).alias("_doc"),
+            document_key(text_or_empty(text)).alias("_doc"),
             F.coalesce(F.concat(F.lit("="), F.col(site)), F.lit("-")).alias("_site"),
-            F.posexplode(F.split(_text(text), "\n", -1)).alias("_no", "_line"),
+            F.posexplode(F.split(text_or_empty(text), "\n", -1)).alias("_no", "_line"),
         )
         .filter(line != "")
         .select("_id", "_doc", "_site", "_no", F.xxhash64(line).alias("_h1"), F.xxhash64(F.lit("b"), line).alias("_h2"))
@@ -90,8 +82,8 @@ def without_boilerplate(
         .groupBy("_doc")
         .agg(F.collect_set("_no").alias("_gone"))
     )
-    keyed = docs.withColumn("_doc", _document_key(_text(text)))
-    lines = F.split(_text(text), "\n", -1)
+    keyed = docs.withColumn("_doc", document_key(text_or_empty(text)))
+    lines = F.split(text_or_empty(text), "\n", -1)
     places = F.sequence(F.lit(0), F.size(lines) - 1)
     staying = F.transform(F.array_except(places, F.col("_gone")), lambda i: F.get(lines, i))
     gone = F.coalesce(F.size("_gone"), F.lit(0)).cast("long")
@@ -99,7 +91,7 @@ def without_boilerplate(
         keyed.join(removed, "_doc", "left")
         .withColumn("n_removed", F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(gone).cast("long"))
         .withColumn("n_lines", F.size(lines).cast("long"))
-        .withColumn(text, F.when(F.col("_gone").isNull(), _text(text)).otherwise(F.concat_ws("\n", staying)))
+        .withColumn(text, F.when(F.col("_gone").isNull(), text_or_empty(text)).otherwise(F.concat_ws("\n", staying)))
         .drop("_doc", "_gone")
     )
 
