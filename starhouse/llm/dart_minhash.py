@@ -30,7 +30,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -183,10 +182,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
-@F.pandas_udf(T.BooleanType())
-def _alike(left: pd.Series, right: pd.Series) -> pd.Series:
+@F.arrow_udf(T.BooleanType())
+def _alike(left: pa.Array, right: pa.Array) -> pa.Array:
     """Whether the weighted or the plain Jaccard similarity of the shingles reaches the threshold."""
-    return pd.Series(similarities(left.tolist(), right.tolist()) >= THRESHOLD)
+    return pa.array(similarities(left.to_pylist(), right.to_pylist()) >= THRESHOLD)
 
 
 def similarities(left: list[str], right: list[str]) -> np.ndarray:
@@ -235,26 +234,20 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, class) for every node of ``links``: smallest labels travel along links and jump
     to their label's label until none changes."""
-    both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = both.groupBy(F.col("a").alias("_node")).agg(F.least(F.col("a"), F.min("b")).alias("_class"))
-    labels = stored(labels, "labels")
-    while True:
+    both = links.select("a", "b").union(links.select("b", "a"))
+    both = stored(both.union(both.select("a", F.col("a").alias("b"))).distinct(), "links")
+    labels = stored(both.groupBy(F.col("a").alias("_node")).agg(F.min("b").alias("_class")), "labels")
+    state = None
+    while (now := labels.agg(F.count("*"), F.sum(F.xxhash64("_node", "_class").cast("decimal(38,0)"))).first()) != state:
+        state = now
         near = (
-            both.join(labels.select(F.col("_node").alias("b"), "_class"), "b")
+            both.join(labels.withColumnRenamed("_node", "b"), "b")
             .groupBy(F.col("a").alias("_node"))
             .agg(F.min("_class").alias("_near"))
         )
-        moved = labels.join(near, "_node").select("_node", "_class", F.least("_class", "_near").alias("_to"))
-        jump = labels.select(F.col("_node").alias("_to"), F.col("_class").alias("_further"))
-        after = stored(
-            moved.join(jump, "_to", "left").select(
-                "_node", F.least("_to", F.coalesce("_further", "_to")).alias("_class"), F.col("_class").alias("_was")
-            ),
-            "labels",
-        )
-        if after.filter("_class <> _was").isEmpty():
-            return after.select("_node", "_class")
-        labels = after.select("_node", "_class")
+        further = labels.select(F.col("_node").alias("_near"), "_class")
+        labels = stored(near.join(further, "_near").select("_node", "_class"), "labels")
+    return labels
 
 
 def text_classes(docs: DataFrame) -> DataFrame:
