@@ -97,8 +97,9 @@ def records(pages: DataFrame) -> DataFrame:
     rows = rows.join(stored(again, "warc-revisits"), "record_id", "left")
 
     whole = F.col("payload")
+    # Possessive: Java's greedy repetition would take a stack frame for each character.
     pieces = F.when(F.length(whole) <= CHUNK_CHARS, F.array(whole)).otherwise(
-        F.regexp_extract_all(whole, F.lit(f"(?s).{{1,{CHUNK_CHARS}}}"), F.lit(0))
+        F.regexp_extract_all(whole, F.lit(f"(?s).{{1,{CHUNK_CHARS}}}+"), F.lit(0))
     )
     date = _line("WARC-Date", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     uri = F.regexp_replace(F.regexp_replace(F.col("url"), "\r", "%0D"), "\n", "%0A")
