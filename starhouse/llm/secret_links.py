@@ -170,9 +170,11 @@ def listed(spans: str) -> Column:
 
 def report(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """A row for each document with counts of the strong kinds, their digest, and all spans."""
-    counts = [
-        F.size(F.filter("base", lambda p, k=k: p["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(STRONG)
-    ]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("base", lambda p: p["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+
+    counts = [count(k) for k in range(STRONG)]
     return find_secrets(docs, scope).select(
         "doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans")
     )
