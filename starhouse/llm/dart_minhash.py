@@ -12,9 +12,10 @@ agree at a coordinate with the probability of the weighted Jaccard similarity.
 Bands of coordinates are joined. To keep a bucket of n texts from becoming n**2 pairs,
 each member is first compared with its bucket's hub (the member that shares most buckets
 with others), and exact similarity of the whole texts makes links and classes of them. What
-then remains are pairs in one bucket but in different classes; these are compared
-all, behind a bound on the similarity their signatures allow (3.5 standard errors). Pairs
-within a class are not needed, as they cannot change it.
+then remains are pairs in one bucket but in different classes. Buckets that hold such are cut
+into blocks of bounded size, and each pair of blocks is compared in a task of its own, which
+returns links only: all pairs whose signatures allow the threshold (within 3.5 standard
+errors) are compared exactly. Pairs within a class are not needed, as they cannot change it.
 
 Defined results: equal texts are one class (null counts as empty text); texts of one to four
 words are one shingle; texts without words are similar to equal texts only. Words are runs of
@@ -46,6 +47,9 @@ COORDINATES = ROWS * BANDS
 _LONGS = COORDINATES // 16
 _NIBBLES = 0x1111111111111111
 _CHARS_AT_ONCE = 500_000
+#: Texts of a bucket that are compared with each other in one task come in blocks of this size.
+BLOCK_TEXTS = 1_000
+BLOCK_CHARS = 16_000_000
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -164,11 +168,12 @@ def _spans(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
-_SIGNED = "_node binary, _bands array<bigint>, _bits array<bigint>"
+_SIGNED = "_node binary, _bands array<bigint>, _bits array<bigint>, _chars bigint"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("_node", pa.binary()), ("_bands", pa.list_(pa.int64())), ("_bits", pa.list_(pa.int64()))])
+    many = pa.list_(pa.int64())
+    schema = pa.schema([("_node", pa.binary()), ("_bands", many), ("_bits", many), ("_chars", pa.int64())])
     for batch in batches:
         texts = batch.column("_text")
         for start, end in _spans(pc.binary_length(texts).to_numpy()):
@@ -179,6 +184,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for values in (band[real], bits[real]):
                 lists = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
                 columns.append(pa.ListArray.from_arrays(pa.array(lists), pa.array(values.ravel())))
+            columns.append(pc.cast(pc.binary_length(texts.slice(start, end - start)), pa.int64()).filter(pa.array(real)))
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
@@ -188,22 +194,84 @@ def _alike(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(similarities(left.to_pylist(), right.to_pylist()) >= THRESHOLD)
 
 
+class Shingled:
+    """The elements of some texts, for exact similarities between them."""
+
+    def __init__(self, texts: list[str]):
+        self.all: list[np.ndarray] = []
+        self.once: list[np.ndarray] = []
+        for start, end in _spans(np.array([len(t) for t in texts])):
+            seeds, owner, first = elements(pa.array(texts[start:end], pa.string()))
+            ends = np.cumsum(np.bincount(owner, minlength=end - start))
+            for i, j in zip(np.append(0, ends[:-1]), ends):
+                self.all.append(seeds[i:j])
+                self.once.append(seeds[i:j][first[i:j]])
+
+    @staticmethod
+    def _jaccard(x: np.ndarray, y: np.ndarray) -> float:
+        if min(len(x), len(y)) < THRESHOLD * max(len(x), len(y), 1):
+            return 0.0
+        shared = len(np.intersect1d(x, y, assume_unique=True))
+        return shared / (len(x) + len(y) - shared)
+
+    def similarity(self, i: int, j: int) -> float:
+        """Weighted or plain Jaccard, the larger; exact where it reaches the threshold."""
+        weighted = self._jaccard(self.all[i], self.all[j])
+        repeats = len(self.all[i]) > len(self.once[i]) or len(self.all[j]) > len(self.once[j])
+        return max(weighted, self._jaccard(self.once[i], self.once[j])) if repeats else weighted
+
+
 def similarities(left: list[str], right: list[str]) -> np.ndarray:
     best = np.zeros(len(left))
     for start, end in _spans(np.array([len(a) + len(b) for a, b in zip(left, right)])):
-        n = end - start
-        seeds, owner, first = elements(pa.array(left[start:end] + right[start:end], pa.string()))
-        ends = np.cumsum(np.bincount(owner, minlength=2 * n))
-        begins = np.append(0, ends[:-1])
-        for i in range(n):
-            a, b = slice(begins[i], ends[i]), slice(begins[i + n], ends[i + n])
-            for x, y in ((seeds[a], seeds[b]), (seeds[a][first[a]], seeds[b][first[b]])):
-                if len(x) and len(y):
-                    shared = len(np.intersect1d(x, y, assume_unique=True))
-                    best[start + i] = max(best[start + i], shared / (len(x) + len(y) - shared))
+        both = Shingled(left[start:end] + right[start:end])
+        best[start:end] = [both.similarity(i, i + end - start) for i in range(end - start)]
     return best
 
 
+_LINK = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+
+def _linked_blocks(key: tuple, rows: pa.Table) -> pa.Table:
+    """Links between texts of different classes within a block of a bucket, or between two blocks.
+
+    A pair is taken in the first band that it shares. Likelier pairs come first, and those
+    whose classes have been joined by then are left out, since they change nothing.
+    """
+    band, i, j = (k.as_py() for k in key)
+    nodes, classes, block = (rows.column(c).to_pylist() for c in ("_node", "_class", "_block"))
+    bands = np.array(rows.column("_bands").to_pylist(), np.int64)
+    bits = np.array(rows.column("_bits").to_pylist(), np.int64).view(_U)
+    nibbles = ((bits[:, :, None] >> (_U(4) * np.arange(16, dtype=_U))) & _U(15)).astype(np.uint8).reshape(len(nodes), -1)
+    names, kind = np.unique(np.array(classes, dtype="S16"), return_inverse=True)
+    left = [n for n, own in enumerate(block) if own == i]
+    right = np.array([n for n, own in enumerate(block) if own == j])
+    found = []
+    for u in left:
+        others = right[(right > u) & (kind[right] != kind[u])] if i == j else right[kind[right] != kind[u]]
+        agree = (nibbles[others] == nibbles[u]).sum(axis=1)
+        others, agree = others[agree >= _least_agreeing()], agree[agree >= _least_agreeing()]
+        if len(others):
+            first = (bands[others] == bands[u]).argmax(axis=1)
+            here = bands[u][first] == band
+            found += zip(-agree[here], [u] * int(here.sum()), others[here])
+    parent = list(range(len(names)))
+
+    def root(n: int) -> int:
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    links, texts = [], None
+    for _, u, v in sorted(found):
+        if root(kind[u]) != root(kind[v]):
+            texts = texts or Shingled(rows.column("_text").to_pylist())
+            if texts.similarity(u, v) >= THRESHOLD:
+                parent[root(kind[u])] = root(kind[v])
+                links.append({"a": nodes[u], "b": nodes[v]})
+    return pa.Table.from_pylist(links, schema=_LINK)
+
+
 def _node() -> Column:
     return F.unhex(F.md5(text_or_empty()))
 
@@ -254,7 +322,7 @@ def text_classes(docs: DataFrame) -> DataFrame:
     """(node, class) of every text that has a near-duplicate; a node is a text's digest."""
     keyed = docs.select(_node().alias("_node"), text_or_empty().alias("_text"))
     signed = stored(keyed.mapInArrow(_sign, _SIGNED).dropDuplicates(["_node"]), "signatures")
-    rows = signed.select("_node", F.explode("_bands").alias("_band"))
+    rows = signed.select("_node", "_chars", F.explode("_bands").alias("_band"))
     crowded = rows.groupBy("_band").agg(F.count("*").alias("_n")).filter("_n > 1")
     rows = stored(rows.join(crowded, "_band"), "buckets")
     weight = rows.groupBy("_node").agg(F.sum("_n").alias("_weight"))
@@ -279,17 +347,26 @@ def text_classes(docs: DataFrame) -> DataFrame:
     labels = components(links)
 
     named = rows.join(labels, "_node", "left").withColumn("_class", F.coalesce("_class", "_node"))
-    mixed = named.groupBy("_band").agg(F.min("_class").alias("_lo"), F.max("_class").alias("_hi")).filter("_lo < _hi")
-    open_ = stored(named.join(mixed.select("_band"), "_band").join(bits, "_node"), "open-buckets")
-    x, y = open_.alias("x"), open_.alias("y")
-    apart = (F.col("x._band") == F.col("y._band")) & (F.col("x._class") < F.col("y._class"))
-    rest = (
-        x.join(y, apart & (_agreeing("x", "y") >= _least_agreeing()))
-        .select(F.col("x._node").alias("a"), F.col("y._node").alias("b"))
-        .distinct()
+    mixed = named.groupBy("_band").agg(
+        F.min("_class").alias("_lo"), F.max("_class").alias("_hi"), F.count("*").alias("_size"), F.sum("_chars").alias("_sum")
+    )
+    mixed = mixed.filter("_lo < _hi").select(
+        "_band", F.ceil(F.col("_size") / BLOCK_TEXTS + F.col("_sum") / BLOCK_CHARS).cast("int").alias("_blocks")
+    )
+    blocked = named.join(mixed, "_band").withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))
+    sketch = signed.select("_node", "_bands", "_bits").join(texts, "_node")
+    blocked = blocked.select("_band", "_node", "_class", "_blocks", "_block").join(sketch, "_node")
+    # A block meets itself and every other one of its bucket.
+    meeting = F.transform(
+        F.sequence(F.lit(0), F.col("_blocks") - 1),
+        lambda k: F.struct(F.least(k, "_block").alias("i"), F.greatest(k, "_block").alias("j")),
     )
-    more = stored(_linked(rest, texts), "more-links")
-    return components(links.union(more))
+    met = blocked.withColumn("_pair", F.explode(meeting)).select(
+        "_band", F.col("_pair.i").alias("_i"), F.col("_pair.j").alias("_j"),
+        "_node", "_class", "_block", "_bands", "_bits", "_text",
+    )
+    more = met.groupBy("_band", "_i", "_j").applyInArrow(_linked_blocks, "a binary, b binary")
+    return components(links.union(stored(more, "more-links")))
 
 
 def _members(docs: DataFrame) -> DataFrame:
