@@ -5,13 +5,12 @@
     python -m starhouse run     NAME ROOT [--landed LANDED] [--out PATH]
     python -m starhouse list
 
-Run it through ``spark-submit`` to use a cluster's session.
+Master, memory and partitions come from the submitter and Spark's defaults file.
 """
 
 from __future__ import annotations
 
 import argparse
-import os
 
 from pyspark.sql import SparkSession
 
@@ -20,12 +19,15 @@ from starhouse.plans.landing import land_pages, landed_stage
 from starhouse.plans.refresh import refresh_core
 from starhouse.plans.warehouse import PublishedWarehouse
 from starhouse.profile import HEALTH
-from starhouse.session import build_session
 
 
-def _session() -> SparkSession:
-    submitted = "SPARK_SUBMIT_OPTS" in os.environ or "SPARK_ENV_LOADED" in os.environ
-    return SparkSession.builder.getOrCreate() if submitted else build_session()
+#: Rows printed without --out.
+SHOWN = 50
+
+
+def session() -> SparkSession:
+    """The session as configured; no setting is made here."""
+    return SparkSession.builder.appName("starhouse").getOrCreate()
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -41,14 +43,14 @@ def main(argv: list[str] | None = None) -> None:
     run.add_argument("name", choices=sorted(PLANS))
     run.add_argument("root")
     run.add_argument("--landed", help="CSV folder, for plans that read staging")
-    run.add_argument("--out", help="write Parquet here instead of printing 50 rows")
+    run.add_argument("--out", help="write Parquet here instead of printing")
     commands.add_parser("list", help="names of all plans")
     args = parser.parse_args(argv)
 
     if args.command == "list":
         print("\n".join(sorted(PLANS)))
         return
-    spark = _session()
+    spark = session()
     if args.command == "land":
         land_pages(spark, HEALTH, args.pages, args.landed)
     elif args.command == "refresh":
@@ -60,7 +62,11 @@ def main(argv: list[str] | None = None) -> None:
         if args.out:
             result.write.parquet(args.out)
         else:
-            result.show(50, truncate=False)
+            shown = result.limit(SHOWN + 1).collect()
+            for row in [result.columns, *shown[:SHOWN]]:
+                print(" | ".join("" if value is None else str(value) for value in row))
+            if len(shown) > SHOWN:
+                print(f"(first {SHOWN} rows; there are more, use --out for all)")
 
 
 if __name__ == "__main__":

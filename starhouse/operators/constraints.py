@@ -17,22 +17,20 @@ def violations(
 ) -> DataFrame:
     """Rows (table_name, constraint_name, n_violations); zero where the constraint holds.
 
-    Two aggregates with map-side combine: one pass for null counts and row rules,
-    one for repeated keys, counted as surplus rows.
+    One pass: rows and broken tests are counted per key, combined before the shuffle,
+    and the counts summed up. Repeated keys count as surplus rows.
     """
     broken = {f"not_null:{c}": F.col(c).isNull() for c in required} | (rules or {})
-    nulls = (
-        df.agg(*[F.count_if(test).alias(name) for name, test in broken.items()])
-        .unpivot([], [F.col(f"`{name}`") for name in broken], "constraint_name", "n_violations")
-        .select(F.lit(table).alias("table_name"), "constraint_name", "n_violations")
+    unique = f"unique:{','.join(key)}"
+    per_key = df.groupBy(*key).agg(
+        (F.count("*") - 1).alias(unique), *[F.count_if(test).alias(name) for name, test in broken.items()]
     )
-    copies = df.groupBy(*key).agg((F.count("*") - 1).alias("_surplus"))
-    unique = copies.agg(F.coalesce(F.sum("_surplus"), F.lit(0)).alias("n_violations")).select(
-        F.lit(table).alias("table_name"),
-        F.lit(f"unique:{','.join(key)}").alias("constraint_name"),
-        "n_violations",
+    names = [*broken, unique]
+    return (
+        per_key.agg(*[F.coalesce(F.sum(f"`{name}`"), F.lit(0)).alias(name) for name in names])
+        .unpivot([], [F.col(f"`{name}`") for name in names], "constraint_name", "n_violations")
+        .select(F.lit(table).alias("table_name"), "constraint_name", "n_violations")
     )
-    return nulls.unionByName(unique)
 
 
 def stacked(frames: list[DataFrame]) -> DataFrame:

@@ -61,46 +61,63 @@ def with_global_index(df: DataFrame, order: Sequence[Column | str], name: str) -
     )
 
 
-def with_running_total(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column | str], measure: str, name: str
+def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+    """Equality of key columns in which a null group is a group like any other."""
+    condition = F.lit(True)
+    for c in columns:
+        condition = condition & left[c].eqNullSafe(right[c])
+    return condition
+
+
+def _running(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column | str], measure: str, name: str, total: str
 ) -> DataFrame:
-    """Running sum of ``measure`` within each group, in the given (unique) order."""
     ordered = _write_in_order(df, [*group, *order])
     inside = (
         Window.partitionBy(_RANGE, *group)
         .orderBy(_SLOT)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    earlier = (
-        Window.partitionBy(*group).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    by_group = Window.partitionBy(*group)
+    earlier = by_group.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     # At most one row per range partition and one more per group.
     pieces = (
         ordered.groupBy(_RANGE, *group)
         .agg(F.sum(measure).alias("_sum"))
-        .select(_RANGE, *group, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
-    )
-    return (
-        ordered.withColumn("_inside", F.sum(measure).over(inside))
-        .join(pieces, [_RANGE, *group])
-        .withColumn(name, F.col("_before") + F.col("_inside"))
-        .drop(_SLOT, _RANGE, "_before", "_inside")
+        .select(
+            _RANGE,
+            *group,
+            F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
+            F.sum("_sum").over(by_group).alias(total),
+        )
     )
+    rows = ordered.withColumn("_inside", F.coalesce(F.sum(measure).over(inside), F.lit(0)))
+    joined = rows.join(pieces, _same(rows, pieces, [_RANGE, *group]))
+    for c in (_RANGE, *group):
+        joined = joined.drop(pieces[c])
+    return joined.withColumn(name, F.col("_before") + F.col("_inside")).drop(_SLOT, _RANGE, "_before", "_inside")
+
+
+def with_running_total(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column | str], measure: str, name: str
+) -> DataFrame:
+    """Running sum of ``measure`` within each group, in the given (unique) order; nulls add nothing."""
+    return _running(df, group, order, measure, name, "_total").drop("_total")
 
 
 def with_dense_rank(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
-    """Dense rank by descending value within each group, every row kept.
+    """Dense rank by descending value within each group, every row kept; nulls rank last.
 
-    Equal values share a rank, so it is the distinct (group, value) pairs that
-    are numbered; a rank is the pair's number minus the first one of its group.
+    Equal values share a rank, so it is the distinct (group, value) pairs that are
+    counted. The rows are written once and serve both the pairs and the join back.
     """
-    pairs = df.select(group, value).distinct()
-    numbered = with_global_index(pairs, [F.col(group), F.col(value).desc()], "_place")
-    first = numbered.groupBy(group).agg(F.min("_place").alias("_first"))
-    ranks = numbered.join(first, group).select(
-        group, value, (F.col("_place") - F.col("_first") + 1).cast("int").alias(name)
-    )
-    return df.join(ranks, [group, value])
+    path = scratch_path(df.sparkSession, "ranked")
+    df.write.parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    pairs = rows.select(group, value).distinct().withColumn("_one", F.lit(1))
+    ranks = with_running_total(pairs, [group], [F.col(value).desc()], "_one", "_rank")
+    joined = rows.join(ranks, _same(rows, ranks, [group, value]))
+    return joined.select(*[rows[c] for c in rows.columns], ranks["_rank"].cast("int").alias(name))
 
 
 def group_quantiles(
@@ -109,12 +126,11 @@ def group_quantiles(
     """Exact quantiles with linear interpolation, one column per named probability.
 
     Works on counts per distinct value, so a group is never sorted or buffered in
-    one task however many rows it has.
+    one task however many rows it has. ``n_rows`` and the positions count values, not
+    nulls; a group of nulls alone has none and null quantiles.
     """
-    counts = df.groupBy(group, value).agg(F.count("*").alias("_n"))
-    reached = with_running_total(counts, [group], [value], "_n", "_upto")
-    totals = counts.groupBy(group).agg(F.sum("_n").alias("_rows"))
-    joined = reached.join(totals, group)
+    counts = df.groupBy(group, value).agg(F.count(value).alias("_n"))
+    reached = _running(counts, [group], [value], "_n", "_upto", "_rows")
     picks, results = [], []
     for name, probability in probabilities.items():
         position = F.lit(Decimal(probability)) * (F.col("_rows") - 1)
@@ -123,7 +139,7 @@ def group_quantiles(
         lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         results.append((lo + (hi - lo) * (position - F.floor(position))).alias(name))
     return (
-        joined.groupBy(group, "_rows")
+        reached.groupBy(group, "_rows")
         .agg(*picks)
         .select(group, F.col("_rows").alias("n_rows"), *results)
     )

@@ -132,20 +132,20 @@ def _sources() -> dict[str, str]:
         joined = " || '|' || ".join(columns.split())
         return f"SELECT '{kind}' AS kind, {joined}{suffix} AS record FROM {source} WHERE {where}"
 
-    # Page records of the communicable kind carry the constant disease name last.
+    # Page records of the communicable kind carry the disease's name last.
     comm = """SELECT 'communicable' AS kind,
                      raw_indicator_code || '|' || raw_country_code || '|' || raw_spatial_dim_type
                      || '|' || raw_year || '|' || raw_numeric_value || '|' || raw_low || '|'
-                     || raw_high || '|URGENT' AS record
-              FROM stg_comm WHERE raw_indicator_code = '1-URGENT'"""
+                     || raw_high || '|' || raw_disease_name AS record
+              FROM stg_comm"""
     region = """SELECT DISTINCT 'region' AS kind, raw_region_code || '|' || raw_region_name AS record
                 FROM stg_country WHERE raw_region_code <> ''"""
-    plain_csv = """
-        SELECT raw_indicator_code AS indicator_code, raw_country_code AS country_code,
-               raw_spatial_dim_type AS spatial_dim_type, raw_year AS "year",
-               raw_sex_code AS sex_code, raw_numeric_value AS numeric_value,
-               raw_low AS low, raw_high AS high
-        FROM stg_health WHERE raw_indicator_code IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO')"""
+    pulled = "raw_indicator_code IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO')"
+
+    def landed(file: str, table: str, where: str = "TRUE") -> str:
+        return f"""SELECT '{file}' AS file_name, replace(record, chr(13), '') AS record
+                   FROM ({cells(table, '', where)})"""
+
     dims = {
         "dim_sex": ("sex_code", "sex_name", "stg_health", "raw_sex_code"),
         "dim_indicator": ("indicator_code", "indicator_name", "stg_health", "raw_indicator_code"),
@@ -162,9 +162,19 @@ def _sources() -> dict[str, str]:
             ALL_STAGING, _stack(_records(t, control_chars=False) for t in STAGING)
         ),
         "src_lineage": with_tables(
+            ALL_STAGING,
+            _stack(
+                f"""SELECT '{name}' AS table_name, 'part' AS file_stem, 'csv' AS file_type,
+                           count(*) AS n_rows, count(*) AS n_timed FROM {source}"""
+                for name, (source, _) in STAGING.items()
+            ),
+        ),
+        "src_rejects": with_tables(
             "stg_country",
-            """SELECT raw_country_code, 'csv' AS source_type, TRUE AS has_ingest_time
-               FROM stg_country""",
+            """SELECT reason, count(*) AS n_rows
+               FROM (SELECT CASE CAST(raw_country_code AS INTEGER) % 7
+                            WHEN 1 THEN 'field too many' WHEN 2 THEN 'field too few' ELSE 'accepted' END AS reason
+                     FROM stg_country) GROUP BY reason""",
         ),
         "src_json_pages": with_tables(
             ALL_STAGING,
@@ -178,7 +188,9 @@ def _sources() -> dict[str, str]:
                 ]
             ),
         ),
-        "src_multi_indicator": with_tables("stg_health", plain_csv),
+        "src_multi_indicator": with_tables(
+            "stg_health stg_comm", _stack([cells("stg_health_estimates_raw", "health", pulled), comm])
+        ),
         "src_static_dims": with_tables(
             ALL_STAGING + " " + " ".join(dims),
             _stack(
@@ -205,15 +217,27 @@ def _sources() -> dict[str, str]:
             ),
         ),
         "snk_csv_roundtrip": with_tables(
-            "health",
-            f"""SELECT {HEALTH_KEY}, {_double('metric_value', 'metric_value')},
-                       {_double('low_ci', 'low_ci')}, {_double('high_ci', 'high_ci')} FROM health""",
+            ALL_STAGING,
+            _stack(
+                [
+                    landed("health_estimates_raw.csv", "stg_health_estimates_raw", pulled),
+                    landed("ncd_deaths_raw.csv", "stg_ncd_deaths_raw"),
+                    landed("communicable_deaths_raw.csv", "stg_communicable_deaths_raw"),
+                    landed("countries.csv", "stg_countries_raw"),
+                    f"""SELECT 'regions.csv' AS file_name, replace(record, chr(13), '') AS record
+                        FROM ({region})""",
+                ]
+            ),
+        ),
+        "snk_views_by_name": _stack(
+            f"SELECT '{name}' AS view_name, count(*) AS n_rows FROM ({query})" for name, query in _views().items()
         ),
         "refresh_core": with_tables(
-            "dim_country health ncd comm",
+            "dim_country health ncd comm candidates",
             """SELECT (SELECT count(*) FROM dim_country) AS countries_loaded,
                       (SELECT count(*) FROM health) AS facts_loaded,
-                      (SELECT count(*) FROM ncd) + (SELECT count(*) FROM comm) AS deaths_loaded""",
+                      (SELECT count(*) FROM ncd) + (SELECT count(*) FROM comm) AS deaths_loaded,
+                      (SELECT count(*) FROM candidates) - (SELECT count(*) FROM health) AS rows_rejected""",
         ),
     }
 
@@ -242,7 +266,7 @@ def _core() -> dict[str, str]:
             SELECT '{name}' AS table_name, count(*) AS staged_rows,
                    count(CASE WHEN outcome = 'loaded' THEN 1 END) AS core_rows,
                    count(CASE WHEN outcome <> 'loaded' THEN 1 END) AS filtered_out,
-                   {counts}, CAST(0 AS BIGINT) AS missing_region
+                   {counts}, CAST(0 AS BIGINT) AS missing_region, CAST(0 AS BIGINT) AS repeated
             FROM (SELECT CASE
                     WHEN level <> 'COUNTRY' THEN 'not_country'
                     WHEN year_val IS NULL THEN 'bad_year'
@@ -258,11 +282,14 @@ def _core() -> dict[str, str]:
                   FROM {typed})"""
 
     zeros = ", ".join(f"CAST(0 AS BIGINT) AS {o}" for o in outcomes)
+    lost = "(trim(raw_region_code) = '' OR trim(raw_region_name) = '')"
     countries = f"""
         SELECT 'dim_country' AS table_name, count(*) AS staged_rows,
-               (SELECT count(*) FROM dim_country) AS core_rows,
-               count(*) - (SELECT count(*) FROM dim_country) AS filtered_out, {zeros},
-               count(CASE WHEN trim(raw_region_code) = '' OR trim(raw_region_name) = '' THEN 1 END) AS missing_region
+               count(DISTINCT CASE WHEN NOT {lost} THEN raw_country_code END) AS core_rows,
+               count(*) - count(DISTINCT CASE WHEN NOT {lost} THEN raw_country_code END) AS filtered_out, {zeros},
+               count(CASE WHEN {lost} THEN 1 END) AS missing_region,
+               count(CASE WHEN NOT {lost} THEN 1 END)
+                   - count(DISTINCT CASE WHEN NOT {lost} THEN raw_country_code END) AS repeated
         FROM stg_country"""
     broken = " OR ".join(RULES.values())
 
@@ -488,17 +515,18 @@ def _concentration(columns: str, n: int) -> str:
 
 
 def _decliners(limit: str) -> str:
+    """Both years of a country in one row, by aggregation."""
     return with_tables(
-        "vw_health",
-        f"""SELECT l.country_name, l.region_name, {_double('round(e.metric_value, 1)', 'le_1995')},
-                   {_double('round(l.metric_value, 1)', 'le_2000')},
-                   {_double('round(l.metric_value - e.metric_value, 2)', 'le_change')}
-            FROM vw_health l JOIN vw_health e
-              ON e.country_code = l.country_code AND e.indicator_code = l.indicator_code
-             AND e.sex_code = l.sex_code
-            WHERE l.indicator_code = 'ECONOMY' AND l.sex_name = 'Both sexes'
-              AND l.year_val = 2000 AND e.year_val = 1995 AND l.metric_value < e.metric_value
-            ORDER BY round(l.metric_value - e.metric_value, 2), l.country_code {limit}""",
+        "health dim_country dim_sex",
+        f"""SELECT country_name, region_name, {_double('round(was, 1)', 'le_1995')},
+                   {_double('round(is_now, 1)', 'le_2000')}, {_double('round(is_now - was, 2)', 'le_change')}
+            FROM (SELECT country_code, any_value(metric_value) FILTER (WHERE year_val = 1995) AS was,
+                         any_value(metric_value) FILTER (WHERE year_val = 2000) AS is_now
+                  FROM health WHERE indicator_code = 'ECONOMY' AND year_val IN (1995, 2000)
+                    AND sex_code = (SELECT sex_code FROM dim_sex WHERE sex_name = 'Both sexes')
+                  GROUP BY country_code)
+            JOIN dim_country USING (country_code) WHERE is_now < was
+            ORDER BY round(is_now - was, 2), country_code {limit}""",
     )
 
 
@@ -714,9 +742,13 @@ def _quality() -> dict[str, str]:
                 WHERE d.{key} IS NULL""",
         )
 
-    def duplicate(key: str, n: int) -> str:
-        return f"""SELECT {key}, count(*) AS n_dups FROM lineitem GROUP BY {key}
-                   HAVING count(*) > 1 ORDER BY n_dups DESC, {key} LIMIT {n}"""
+    def duplicate(table: str, key: str, n: int) -> str:
+        order = ", ".join(f"{column} NULLS FIRST" for column in key.split(", "))
+        return with_tables(
+            table,
+            f"""SELECT {key}, count(*) AS n_dups FROM {table} GROUP BY {key}
+                HAVING count(*) > 1 ORDER BY n_dups DESC, {order} LIMIT {n}""",
+        )
 
     def count(table: str, condition: str, name: str) -> str:
         return with_tables(table, f"SELECT count(*) AS {name} FROM {table} WHERE {condition}")
@@ -738,7 +770,7 @@ def _quality() -> dict[str, str]:
         "dq_orphan_country_health": orphan("typed_health", "dim_country", "country_code", "orphan_country"),
         "dq_orphan_indicator": orphan("typed_health", "dim_indicator", "indicator_code", "orphan_indicator"),
         "dq_orphan_sex": orphan("typed_health", "dim_sex", "sex_code", "orphan_sex"),
-        "dq_dups_health": duplicate("l_orderkey, l_linenumber", 20),
+        "dq_dups_health": duplicate("typed_health", HEALTH_KEY, 20),
         "dq_year_range_health": years("health", ", count(DISTINCT year_val) AS n_distinct_years"),
         "dq_negative_le": count(
             "typed_health",
@@ -801,7 +833,7 @@ def _quality() -> dict[str, str]:
         ),
         "dq_orphan_cause": orphan("typed_ncd", "dim_cause", "cause_code", "orphan_cause"),
         "dq_orphan_country_ncd": orphan("typed_ncd", "dim_country", "country_code", "orphan_country_deaths"),
-        "dq_dups_ncd": duplicate("l_orderkey, l_suppkey", 10),
+        "dq_dups_ncd": duplicate("typed_ncd", NCD_KEY, 10),
         "dq_negative_ncd": count("typed_ncd", "death_count < 0", "negative_deaths"),
         "dq_year_range_ncd": years("ncd"),
         "dq_inverted_ncd": count("ncd", inverted, "inverted_ci_deaths"),
@@ -811,7 +843,7 @@ def _quality() -> dict[str, str]:
         ),
         "dq_orphan_disease": orphan("typed_comm", "dim_disease", "disease_code", "orphan_disease"),
         "dq_orphan_country_comm": orphan("typed_comm", "dim_country", "country_code", "orphan_country_comm"),
-        "dq_dups_comm": duplicate("l_orderkey, l_partkey", 10),
+        "dq_dups_comm": duplicate("typed_comm", COMM_KEY, 10),
         "dq_negative_comm": count("typed_comm", "death_count < 0", "negative_comm_deaths"),
         "dq_year_range_comm": years("comm"),
         "dq_inverted_comm": count("comm", inverted, "inverted_ci_comm"),

@@ -34,6 +34,8 @@ _COUNT_VALUES = """
     CAST(value * CAST(1.10 AS DECIMAL(3,2)) AS DECIMAL(18,4)) AS high"""
 _NEGATIVE_HEALTH = "(supp * 31 + yr) % 107 = 5 AND category = 'ECONOMY'"
 _NEGATIVE_COUNT = "supp % 40 = 7 AND yr % 2 = 0"
+# Staged twice: the rows of suppliers without a region.
+_TWICE = ", unnest(range(CASE WHEN supp % 40 = 7 THEN 2 ELSE 1 END)) AS copies(copy)"
 _UP = """JOIN supplier ON s_suppkey = supp JOIN nation ON n_nationkey = s_nationkey"""
 
 
@@ -109,10 +111,10 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "comm_groups": (
         (),
         """
-    SELECT o_orderpriority AS category, l_suppkey AS supp, year(o_orderdate) AS yr,
+    SELECT o_orderpriority AS category, l_suppkey AS supp,
+           CASE WHEN o_orderpriority[1] IN ('4', '5') THEN 2000 ELSE year(o_orderdate) END AS yr,
            CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS value
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey
-    WHERE o_orderpriority NOT IN ('4-NOT SPECIFIED', '5-LOW') OR year(o_orderdate) = 2000
     GROUP BY ALL""",
     ),
     "stg_health": (
@@ -120,7 +122,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         f"""
     SELECT category AS raw_indicator_code, {_COUNTRY_TEXT.format(negative=_NEGATIVE_HEALTH)},
            flag AS raw_sex_code
-    FROM (SELECT category, supp, yr, flag, {_HEALTH_VALUES} FROM health_groups)
+    FROM (SELECT category, supp, yr, flag, {_HEALTH_VALUES} FROM health_groups) {_TWICE}
     UNION ALL
     SELECT category, {_REGION_TEXT}, flag
     FROM (SELECT category, supp, yr, flag, {_HEALTH_VALUES}
@@ -132,7 +134,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         f"""
     SELECT 'DEATHS' AS raw_indicator_code, category AS raw_cause_code,
            {_COUNTRY_TEXT.format(negative=_NEGATIVE_COUNT)}, flag AS raw_sex_code
-    FROM (SELECT category, supp, yr, flag, {_COUNT_VALUES} FROM ncd_groups)
+    FROM (SELECT category, supp, yr, flag, {_COUNT_VALUES} FROM ncd_groups) {_TWICE}
     UNION ALL
     SELECT 'DEATHS', category, {_REGION_TEXT}, flag
     FROM (SELECT category, supp, yr, flag, {_COUNT_VALUES}
@@ -145,7 +147,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         f"""
     SELECT category AS raw_indicator_code, substr(category, 3) AS raw_disease_name,
            {_COUNTRY_TEXT.format(negative=_NEGATIVE_COUNT)}
-    FROM (SELECT category, supp, yr, {_COUNT_VALUES} FROM comm_groups)
+    FROM (SELECT category, supp, yr, {_COUNT_VALUES} FROM comm_groups) {_TWICE}
     UNION ALL
     SELECT category, substr(category, 3), {_REGION_TEXT}
     FROM (SELECT category, supp, yr, {_COUNT_VALUES}
@@ -161,7 +163,8 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
                AS raw_region_code,
            CASE WHEN s_suppkey % 40 = 7 THEN '' ELSE r_name || chr(13) END AS raw_region_name
     FROM supplier JOIN nation ON n_nationkey = s_nationkey
-                  JOIN region ON r_regionkey = n_regionkey""",
+                  JOIN region ON r_regionkey = n_regionkey,
+         unnest(range(CASE WHEN s_suppkey % 40 = 8 THEN 2 ELSE 1 END)) AS copies(copy)""",
     ),
     "dim_sex": (
         (),

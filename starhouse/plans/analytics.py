@@ -226,8 +226,10 @@ def q09_dense_rank(wh: Warehouse) -> DataFrame:
         "country_name",
         "region_name",
     )
-    return with_dense_rank(rows, "region_name", "metric_value", "region_rank").select(
-        "region_name", "country_name", F.round(metric(), 1).alias(f"hale_{p.late_year}"), "region_rank"
+    return (
+        with_dense_rank(rows, "region_name", "metric_value", "region_rank")
+        .orderBy("region_name", "region_rank", code())
+        .select("region_name", "country_name", F.round(metric(), 1).alias(f"hale_{p.late_year}"), "region_rank")
     )
 
 
@@ -475,36 +477,41 @@ def q19_total_burden(wh: Warehouse) -> DataFrame:
     return total_burden(wh, 25)
 
 
-def double_burden(wh: Warehouse, n: int) -> DataFrame:
-    """Countries of the focus region with deaths of both kinds."""
+def double_burden(wh: Warehouse, n: int, share: Column) -> DataFrame:
+    """Countries of the focus region with deaths of both kinds, and the communicable share.
+
+    The facts are reduced to the region before they are aggregated, and nothing stands
+    between order and limit, so only the first rows of each task are sorted and moved.
+    """
     p = wh.profile
     region = (
         wh.country()
         .filter(F.col("region_name") == p.focus_region)
         .select("country_code", "country_name")
     )
-    ncd = deaths_per_country(ncd_slice(wh, [p.deaths_year]), "ncd_deaths")
-    comm = deaths_per_country(comm_slice(wh, [p.deaths_year]), "_comm")
+
+    def deaths(rows: DataFrame, name: str) -> DataFrame:
+        return deaths_per_country(rows.join(region, "country_code", "left_semi"), name)
+
     communicable = F.coalesce("_comm", F.lit(0))
+    order = [F.desc("total_deaths"), code()]
     return (
-        region.join(ncd, "country_code")
-        .join(comm, "country_code", "left")
+        region.join(deaths(ncd_slice(wh, [p.deaths_year]), "ncd_deaths"), "country_code")
+        .join(deaths(comm_slice(wh, [p.deaths_year]), "_comm"), "country_code", "left")
         .filter(communicable > 0)
-        .select(
-            "country_code",
-            "country_name",
-            "ncd_deaths",
-            communicable.alias("communicable_deaths"),
-            (F.col("ncd_deaths") + communicable).alias("total_deaths"),
-        )
-        .orderBy(F.desc("total_deaths"), code())
+        .withColumn("communicable_deaths", communicable)
+        .withColumn("total_deaths", F.col("ncd_deaths") + F.col("communicable_deaths"))
+        .withColumn("pct_communicable", share)
+        .select("country_code", "country_name", "ncd_deaths", "communicable_deaths", "total_deaths", "pct_communicable")
+        .orderBy(*order)
         .limit(n)
+        .orderBy(*order)
+        .drop("country_code")
     )
 
 
 def q20_double_burden(wh: Warehouse) -> DataFrame:
-    share = percent(F.col("communicable_deaths"), F.col("total_deaths"), 1)
-    return double_burden(wh, 20).drop("country_code").withColumn("pct_communicable", share)
+    return double_burden(wh, 20, percent(F.col("communicable_deaths"), F.col("total_deaths"), 1))
 
 
 # --- functions on real data --------------------------------------------------

@@ -67,6 +67,7 @@ OUTCOMES = [
     "unknown_sex",
     "rule_rejected",
     "missing_region",
+    "repeated",
 ]
 
 
@@ -93,8 +94,21 @@ def reconciliation(wh: Warehouse) -> DataFrame:
         & (clean_text(F.col("raw_region_code")) != "")
         & (clean_text(F.col("raw_region_name")) != "")
     )
-    outcome = F.when(complete, "loaded").otherwise("missing_region").alias("outcome")
-    countries = counts(wh.stg(STG_COUNTRY).select(outcome), "dim_country")
+    staged = wh.stg(STG_COUNTRY).agg(
+        F.count("*").alias("staged_rows"), F.count_if(~complete).alias("missing_region")
+    )
+    loaded = wh.country().agg(F.count("*").alias("core_rows"))
+    nothing = [F.lit(0).cast("bigint").alias(o) for o in OUTCOMES[1:-2]]
+    # One row each. What is complete and not loaded repeats a row that is.
+    countries = staged.crossJoin(loaded).select(
+        F.lit("dim_country").alias("table_name"),
+        "staged_rows",
+        "core_rows",
+        (F.col("staged_rows") - F.col("core_rows")).alias("filtered_out"),
+        *nothing,
+        "missing_region",
+        (F.col("staged_rows") - F.col("missing_region") - F.col("core_rows")).alias("repeated"),
+    )
     return stacked([*facts, countries])
 
 

@@ -66,8 +66,9 @@ def write_pages(df: DataFrame, fields: dict[str, str], path: str, page_size: int
     ``page_size`` records whatever keys they carry.
     """
     record = F.struct(*[F.col(name).alias(key) for name, key in fields.items()]).alias("_record")
-    page = F.floor(F.monotonically_increasing_id() / page_size).alias("_page")
-    pages = df.select(record, page).groupBy("_page").agg(F.collect_list("_record").alias("value"))
+    numbered = df.select(record, F.monotonically_increasing_id().alias("_row"))
+    page = F.expr(f"_row div {page_size}").alias("_page")
+    pages = numbered.select("_record", page).groupBy("_page").agg(F.collect_list("_record").alias("value"))
     pages.select("value").write.option("ignoreNullFields", True).json(path)
 
 

@@ -70,7 +70,8 @@ def orphan_check(spec: FactSpec, dim: str, key: str, name: str) -> Check:
 
 
 def duplicate_check(spec: FactSpec, limit: int) -> Check:
-    return lambda wh: Q.duplicates(wh.fact(spec), spec.key, limit)
+    """Repeated business keys of typed staging; the refresh refuses them where they would load."""
+    return lambda wh: Q.duplicates(typed(wh, spec), spec.key, limit)
 
 
 def year_range_health(wh: Warehouse) -> DataFrame:
@@ -128,10 +129,18 @@ def inverted_count(spec: FactSpec, name: str) -> Check:
 
 
 def repaired(wh: Warehouse) -> DataFrame:
-    """The health fact with inverted bounds swapped back."""
+    """The health fact with inverted bounds swapped back; ``publish_repaired`` makes it current."""
     return Q.repair_inverted(wh.health)
 
 
+def published_bounds(wh: Warehouse) -> DataFrame:
+    return wh.health.select("fact_id", *HEALTH_FACT.key, "low_ci", "high_ci")
+
+
+def remaining_inverted(wh: Warehouse) -> DataFrame:
+    return Q.count_where(wh.health, Q.inverted(), "remaining_inverted")
+
+
 def repair_detail(wh: Warehouse) -> DataFrame:
     return repaired(wh).select("fact_id", *HEALTH_FACT.key, "low_ci", "high_ci")
 

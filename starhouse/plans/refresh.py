@@ -8,17 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starhouse.operators.constraints import stacked, violations
-from starhouse.operators.loading import build_country_dim, load_fact
-from starhouse.operators.rules import first_violation
+from starhouse.operators.loading import LEVEL, build_country_dim, parsed, referenced, typed_staging
+from starhouse.operators.quality import repair_inverted
+from starhouse.operators.rules import rules, split, strict
 from starhouse.parallel import run_together
-from starhouse.plans.warehouse import PublishedWarehouse, Stage, Warehouse
+from starhouse.plans.warehouse import REJECTS_SCHEMA, PublishedWarehouse, Stage, Warehouse
 from starhouse.profile import Profile
-from starhouse.schemas import FACTS, STATIC_DIMS, STG_COUNTRY, FactSpec
+from starhouse.schemas import FACTS, HEALTH_FACT, STATIC_DIMS, STG_COUNTRY, FactSpec
 from starhouse.sinks.files import write_fact, write_table
 from starhouse.sinks.versions import new_version, publish, published_summary, version_path
 from starhouse.sources.literal import static_dim
 
-SUMMARY_SCHEMA = "countries_loaded BIGINT, facts_loaded BIGINT, deaths_loaded BIGINT"
+SUMMARY_SCHEMA = "countries_loaded BIGINT, facts_loaded BIGINT, deaths_loaded BIGINT, rows_rejected BIGINT"
+#: Share of a staging table's country rows that may be unreadable before the core is not built.
+MAX_UNREADABLE = 0.5
 COUNTRY_REQUIRED = ["country_code", "country_name", "region_code", "region_name"]
 
 
@@ -27,12 +30,11 @@ class RefreshRejected(RuntimeError):
 
 
 def core_violations(warehouse: Warehouse) -> DataFrame:
-    """Constraint, reference and rule violations of every core table, one row per check."""
+    """Constraint and reference violations of every core table, one row per check."""
     checks = [violations(warehouse.country(), "dim_country", COUNTRY_REQUIRED, ["country_code"])]
     for spec in FACTS:
         fact = warehouse.fact(spec)
-        rule = {"row_rules": first_violation(spec, warehouse.profile).isNotNull()}
-        checks.append(violations(fact, spec.name, spec.key + [spec.measure], spec.key, rule))
+        checks.append(violations(fact, spec.name, spec.key + [spec.measure], spec.key))
         orphans = fact.join(warehouse.country(), "country_code", "left_anti")
         checks.append(
             orphans.agg(F.count("*").alias("n_violations")).select(
@@ -44,23 +46,57 @@ def core_violations(warehouse: Warehouse) -> DataFrame:
     return stacked(checks)
 
 
-def core_summary(warehouse: Warehouse) -> DataFrame:
-    """One row: countries, health facts and death facts loaded."""
+def core_summary(warehouse: PublishedWarehouse) -> DataFrame:
+    """One row: countries, health facts and death facts loaded, and rows refused."""
     health, ncd, comm = (warehouse.fact(spec).agg(F.count("*").alias("n")) for spec in FACTS)
     countries = warehouse.country().agg(F.count("*").alias("countries_loaded"))
     facts = health.select(F.col("n").alias("facts_loaded"))
     deaths = ncd.unionByName(comm).agg(F.sum("n").alias("deaths_loaded"))
-    return countries.crossJoin(facts).crossJoin(deaths)  # one row each
+    rejected = warehouse.rejects().agg(F.count("*").alias("rows_rejected"))
+    return countries.crossJoin(facts).crossJoin(deaths).crossJoin(rejected)  # one row each
+
+
+def staging_gate(stage: Stage, profile: Profile, max_unreadable: float = MAX_UNREADABLE) -> DataFrame:
+    """For each facts staging table its country rows, the unreadable ones, and whether it may be loaded.
+
+    A row is unreadable when its year or its value does not parse. A table without any
+    country row, or with a larger share of unreadable ones than allowed, is not loaded.
+    """
+    frames = []
+    for spec in FACTS:
+        rows = typed_staging(stage(spec.staging), spec).filter(F.col(LEVEL) == profile.country_level)
+        unreadable = F.col("year_val").isNull() | F.col(spec.measure).isNull()
+        counted = rows.agg(F.count("*").alias("n_rows"), F.count_if(unreadable).alias("n_unreadable"))
+        passes = (F.col("n_rows") > 0) & (F.col("n_unreadable") <= F.col("n_rows") * max_unreadable)
+        frames.append(counted.select(F.lit(spec.staging).alias("table_name"), "*", passes.alias("passes")))
+    return stacked(frames)
 
 
 def refresh_core(
-    spark: SparkSession, profile: Profile, stage: Stage, root: str, verbose: bool = False
+    spark: SparkSession,
+    profile: Profile,
+    stage: Stage,
+    root: str,
+    verbose: bool = False,
+    on_violation: str = "record",
+    max_unreadable: float = MAX_UNREADABLE,
 ) -> DataFrame | None:
     """Rebuild all core tables from staging under ``root``.
 
-    The previous version stays current until the new one is complete and free of
-    violations. With ``verbose`` the one-row summary of what was loaded is returned.
+    Staging must pass its gate first. Rows that break a row rule are written to the
+    version's ``rejects`` table (``on_violation="record"``) or fail the refresh
+    (``"abort"``); repeated business keys always fail it. The previous version stays
+    current until the new one is complete and free of violations. With ``verbose`` the
+    one-row summary of what was loaded is returned.
     """
+    if on_violation not in ("record", "abort"):
+        raise ValueError(f"on_violation is 'record' or 'abort', not {on_violation!r}")
+    # One row a staging table.
+    stopped = [r for r in staging_gate(stage, profile, max_unreadable).collect() if not r.passes]
+    if stopped:
+        listed = ", ".join(f"{r.table_name} ({r.n_unreadable} of {r.n_rows} rows unreadable)" for r in stopped)
+        raise RefreshRejected(f"staging not loaded: {listed}")
+
     version = new_version()
     path = version_path(root, version)
     dims = {name: static_dim(spark, profile, name) for name in STATIC_DIMS}
@@ -73,13 +109,29 @@ def refresh_core(
     def write_countries() -> None:
         write_table(build_country_dim(stage(STG_COUNTRY)), f"{path}/dim_country")
 
-    def write_one(spec: FactSpec) -> None:
+    def candidates(spec: FactSpec) -> DataFrame:
         references = {**dims, "dim_country": written.country()}
-        facts = load_fact(stage(spec.staging), spec, references, profile)
-        write_fact(facts, spec, f"{path}/{spec.name}")
+        return referenced(parsed(stage(spec.staging), spec, profile), spec, references)
+
+    def write_one(spec: FactSpec) -> None:
+        if on_violation == "abort":
+            accepted = strict(candidates(spec), spec, profile)
+        else:
+            accepted, _ = split(candidates(spec), spec, profile)
+        write_fact(accepted.select(*spec.columns), spec, f"{path}/{spec.name}")
+
+    def write_rejects() -> None:
+        frames = [spark.createDataFrame([], REJECTS_SCHEMA)]
+        for spec in FACTS if on_violation == "record" else ():
+            if rules(spec, profile):
+                _, rejects = split(candidates(spec), spec, profile)
+                value = F.col(spec.measure).cast("string").alias("value")
+                row_key = F.concat_ws("|", *spec.key).alias("row_key")
+                frames.append(rejects.select(F.lit(spec.name).alias("table_name"), row_key, value, "reason"))
+        write_table(stacked(frames), f"{path}/rejects")
 
     run_together(spark, [write_static, write_countries])
-    run_together(spark, [partial(write_one, spec) for spec in FACTS])
+    run_together(spark, [write_rejects, *[partial(write_one, spec) for spec in FACTS]])
 
     # One row per check: a fixed, small number whatever the data.
     failed = core_violations(written).filter(F.col("n_violations") > 0).collect()
@@ -88,3 +140,23 @@ def refresh_core(
         raise RefreshRejected(f"version {version} not published: {listed}")
     publish(core_summary(written), root, version)
     return published_summary(spark, root, version, SUMMARY_SCHEMA) if verbose else None
+
+
+def publish_repaired(spark: SparkSession, profile: Profile, root: str) -> PublishedWarehouse:
+    """Publish the current version with the bounds of inverted health rows swapped.
+
+    Only the health fact is written; the other tables are taken over from the version
+    that holds them. Readers, views included, see the repair from then on.
+    """
+    current = PublishedWarehouse(spark, profile, root)
+    version = new_version()
+    # The rows come from year folders, in files that are sorted already.
+    repaired = repair_inverted(current.health)
+    repaired.write.mode("errorifexists").partitionBy("year_val").parquet(
+        f"{version_path(root, version)}/{HEALTH_FACT.name}"
+    )
+    others = [*STATIC_DIMS, "dim_country", "rejects", *[s.name for s in FACTS if s is not HEALTH_FACT]]
+    taken = {name: current.taken_over.get(name, current.version) for name in others}
+    summary = published_summary(spark, root, current.version, SUMMARY_SCHEMA)
+    publish(summary, root, version, taken)
+    return PublishedWarehouse(spark, profile, root)

@@ -168,7 +168,7 @@ def rp19_burden20(wh: Warehouse) -> DataFrame:
 
 def rp20_double15(wh: Warehouse) -> DataFrame:
     share = F.coalesce(percent(F.col("communicable_deaths"), F.col("total_deaths"), 2), F.lit(0))
-    return A.double_burden(wh, 15).drop("country_code").withColumn("pct_communicable", share)
+    return A.double_burden(wh, 15, share)
 
 
 REPORTS = {

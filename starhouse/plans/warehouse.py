@@ -32,10 +32,11 @@ from starhouse.schemas import (
 )
 from starhouse.scratch import scratch_path
 from starhouse.sinks.files import write_fact, write_table
-from starhouse.sinks.versions import published_version, version_path
+from starhouse.sinks.versions import published, version_path
 from starhouse.sources.literal import static_dim
 
 Stage = Callable[[str], DataFrame]
+REJECTS_SCHEMA = "table_name STRING, row_key STRING, value STRING, reason STRING"
 
 
 class Warehouse:
@@ -143,28 +144,37 @@ class PublishedWarehouse(Warehouse):
         version: str | None = None,
     ):
         super().__init__(spark, profile)
-        self.version = version or published_version(spark, root)
-        if self.version is None:
+        found = (version, {}) if version else published(spark, root)
+        if found is None:
             raise LookupError(f"no published version under {root}")
-        self._path = version_path(root, self.version)
+        self.root = root
+        self.version, self.taken_over = found
         self._stage = stage
 
+    def path(self, table: str) -> str:
+        """Where the version keeps a table: its own folder, or that of the version it is taken from."""
+        return f"{version_path(self.root, self.taken_over.get(table, self.version))}/{table}"
+
     def stg(self, table: str) -> DataFrame:
         if self._stage is None:
             raise LookupError("this warehouse was opened without its staging source")
         return self._stage(table)
 
     def country(self) -> DataFrame:
-        return self._parquet("dim_country", COUNTRY_SCHEMA, f"{self._path}/dim_country")
+        return self._parquet("dim_country", COUNTRY_SCHEMA, self.path("dim_country"))
 
     def dim(self, name: str) -> DataFrame:
         if name == "dim_country":
             return self.country()
         schema = static_dim(self.spark, self.profile, name).schema
-        return self._parquet(name, schema, f"{self._path}/{name}")
+        return self._parquet(name, schema, self.path(name))
 
     def fact(self, spec: FactSpec) -> DataFrame:
-        return self._parquet(spec.name, spec.schema, f"{self._path}/{spec.name}")
+        return self._parquet(spec.name, spec.schema, self.path(spec.name))
+
+    def rejects(self) -> DataFrame:
+        """Rows that the refresh refused: table_name, row_key, value, reason."""
+        return self._parquet("rejects", REJECTS_SCHEMA, self.path("rejects"))
 
 
 __all__ = ["FACTS", "DerivedWarehouse", "PublishedWarehouse", "Stage", "Warehouse"]

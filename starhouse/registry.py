@@ -17,18 +17,17 @@ from pyspark.sql import types as T
 from starhouse.functions.measures import register_sql_functions, safe_pct
 from starhouse.functions.text import clean_text
 from starhouse.operators.constraints import stacked
-from starhouse.operators.quality import duplicates
-from starhouse.plans import staging_reports
+from starhouse.plans import quality, staging_reports
 from starhouse.plans.catalog import PLANS
-from starhouse.plans.landing import write_pages
-from starhouse.plans.refresh import refresh_core
+from starhouse.plans.landing import COUNTRY_PULL, NCD_PULL, REGION_PULL, REGIONS_FILE, land_pages, write_pages
+from starhouse.plans.refresh import publish_repaired, refresh_core
+from starhouse.plans.views import publish_views
 from starhouse.plans.warehouse import DerivedWarehouse, PublishedWarehouse, Warehouse
 from starhouse.profile import RETAIL
 from starhouse.schemas import (
     CSV_COLUMNS,
     CSV_FILES,
     FACTS,
-    HEALTH_FACT,
     STATIC_DIMS,
     STG_COMM,
     STG_COUNTRY,
@@ -37,7 +36,7 @@ from starhouse.schemas import (
 )
 from starhouse.scratch import scratch_path
 from starhouse.sinks.files import write_csv
-from starhouse.sources.csv_text import read_text_csv
+from starhouse.sources.csv_text import csv_rejects, read_text_csv
 from starhouse.sources.json_pages import (
     COMM_RECORD,
     COUNTRY_RECORD,
@@ -47,7 +46,7 @@ from starhouse.sources.json_pages import (
     read_pages,
     union_pulls,
 )
-from starhouse.sources.order_tables import SOURCE_TABLES, read_table, stage
+from starhouse.sources.order_tables import read_table, stage
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -55,27 +54,21 @@ _warehouses: dict[tuple, Warehouse] = {}
 _lock = threading.Lock()
 
 
-def _input_state(spark: SparkSession, sf_dir: str) -> tuple:
-    """Size and change time of the input tables, so changed inputs are staged afresh."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    state = []
-    for table in SOURCE_TABLES:
-        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
-        files = path.getFileSystem(conf)
-        summary = files.getContentSummary(path)
-        changed = files.getFileStatus(path).getModificationTime()
-        state.append((summary.getLength(), summary.getFileCount(), changed))
-    return tuple(state)
-
-
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    key = (spark.sparkContext.applicationId, sf_dir, _input_state(spark, sf_dir))
+    """The tables of a folder, staged once a session; call :func:`reload` when they have changed."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     with _lock:
         if key not in _warehouses:
             _warehouses[key] = DerivedWarehouse(spark, RETAIL, lambda table: stage(spark, sf_dir, table))
         return _warehouses[key]
 
 
+def reload(spark: SparkSession, sf_dir: str) -> None:
+    """Forget what was staged from a folder."""
+    with _lock:
+        _warehouses.pop((spark.sparkContext.applicationId, sf_dir), None)
+
+
 def portable(df: DataFrame) -> DataFrame:
     """Decimals as doubles and small integers as ints, so results compare across engines."""
     casts = []
@@ -121,16 +114,38 @@ def src_csv_staging(wh: Warehouse) -> DataFrame:
 
 
 def src_lineage(wh: Warehouse) -> DataFrame:
-    """Country rows read from CSV with the file they came from and the time of reading.
+    """For each staging table read from CSV: the files its rows name, and rows with a time of reading.
 
-    The file name is reduced to its extension, since Spark names the files.
+    The file name is reduced to its first word and its extension, since Spark names the files.
     """
-    rows = read_text_csv(wh.spark, _land_csv(wh, STG_COUNTRY), STG_COUNTRY)
-    return rows.select(
-        "raw_country_code",
-        F.regexp_extract("source_file", r"\.([a-z]+)$", 1).alias("source_type"),
-        F.col("ingested_at").isNotNull().alias("has_ingest_time"),
+    frames = []
+    for table in staging_reports.TABLES:
+        rows = read_text_csv(wh.spark, _land_csv(wh, table), table)
+        name = F.regexp_extract("source_file", r"^([a-z]+)-.*\.([a-z]+)$", 1).alias("file_stem")
+        kind = F.regexp_extract("source_file", r"^([a-z]+)-.*\.([a-z]+)$", 2).alias("file_type")
+        frames.append(
+            rows.groupBy(name, kind)
+            .agg(F.count("*").alias("n_rows"), F.count("ingested_at").alias("n_timed"))
+            .select(F.lit(table).alias("table_name"), "file_stem", "file_type", "n_rows", "n_timed")
+        )
+    return stacked(frames)
+
+
+def src_rejects(wh: Warehouse) -> DataFrame:
+    """Country rows written with a field too many or too few: what the reader accepts and refuses."""
+    path = scratch_path(wh.spark, "damaged")
+    fields = [F.translate(F.col(staged), "\r", "") for _, staged in CSV_COLUMNS[STG_COUNTRY]]
+    code = F.col("raw_country_code").cast("int") % 7
+    line = F.when(code == 1, F.concat_ws(",", *fields, F.lit("more"))).when(code == 2, F.concat_ws(",", *fields[:3]))
+    header = ",".join(header for header, _ in CSV_COLUMNS[STG_COUNTRY])
+    damaged = wh.stg(STG_COUNTRY).select(line.otherwise(F.concat_ws(",", *fields)).alias(header))
+    damaged.write.option("header", True).option("sep", "\u0001").option("quote", "").csv(path)
+    accepted = read_text_csv(wh.spark, path, STG_COUNTRY, accept_rejects=True).select(F.lit("accepted").alias("reason"))
+    commas = F.size(F.split("record", ","))
+    refused = csv_rejects(wh.spark, path, STG_COUNTRY).select(
+        F.when(commas > len(fields), "field too many").otherwise("field too few").alias("reason")
     )
+    return accepted.unionByName(refused).groupBy("reason").agg(F.count("*").alias("n_rows"))
 
 
 def _through_pages(
@@ -153,38 +168,54 @@ def _as_text(df: DataFrame, kind: str) -> DataFrame:
     return df.select(F.lit(kind).alias("kind"), F.concat_ws("|", *df.columns).alias("record"))
 
 
-def src_json_pages(wh: Warehouse) -> DataFrame:
-    """Health, NCD, communicable, country and region records read back from JSON pages."""
-    urgent = _as_landed(wh, STG_COMM).filter(F.col("indicator_code") == "1-URGENT")
+def _regions(wh: Warehouse) -> DataFrame:
     countries = _as_landed(wh, STG_COUNTRY)
-    regions = (
+    return (
         countries.filter(F.col("parent_code").isNotNull())
         .select(F.col("parent_code").alias("region_code"), F.col("parent_title").alias("region_name"))
         .distinct()
     )
+
+
+def _health_pulls(wh: Warehouse) -> dict[str, DataFrame]:
+    landed = _as_landed(wh, STG_HEALTH)
+    return {code: landed.filter(F.col("indicator_code") == code) for code, *_ in wh.profile.indicators}
+
+
+def _comm_pulls(wh: Warehouse) -> dict[str, DataFrame]:
+    landed = _as_landed(wh, STG_COMM)
+    return {code: landed.filter(F.col("indicator_code") == code) for code, *_ in wh.profile.diseases}
+
+
+def _communicable_pages(wh: Warehouse) -> DataFrame:
+    """A pull for each disease; its name is not in the pages."""
+    names = {code: name for code, name, _ in wh.profile.diseases}
+    return union_pulls(
+        [
+            _through_pages(pull, COMM_RECORD, f"pull-{code}", {"disease_name": names[code]})
+            for code, pull in _comm_pulls(wh).items()
+        ]
+    )
+
+
+def src_json_pages(wh: Warehouse) -> DataFrame:
+    """Health, NCD, communicable, country and region records read back from JSON pages."""
+    countries = _as_landed(wh, STG_COUNTRY)
     return stacked(
         [
             _as_text(_through_pages(_as_landed(wh, STG_HEALTH), HEALTH_RECORD, "health"), "health"),
             _as_text(_through_pages(_as_landed(wh, STG_NCD), NCD_RECORD, "ncd"), "ncd"),
-            _as_text(
-                _through_pages(urgent, COMM_RECORD, "communicable", {"disease_name": "URGENT"}),
-                "communicable",
-            ),
+            _as_text(_communicable_pages(wh), "communicable"),
             _as_text(_through_pages(countries, COUNTRY_RECORD, "country"), "country"),
-            _as_text(_through_pages(regions, REGION_RECORD, "region"), "region"),
+            _as_text(_through_pages(_regions(wh), REGION_RECORD, "region"), "region"),
         ]
     )
 
 
 def src_multi_indicator(wh: Warehouse) -> DataFrame:
-    """One landed pull per indicator, combined into one dataset."""
-    landed = _as_landed(wh, STG_HEALTH)
-    return union_pulls(
-        [
-            _through_pages(landed.filter(F.col("indicator_code") == code), HEALTH_RECORD, f"pull-{code}")
-            for code, *_ in wh.profile.indicators
-        ]
-    )
+    """One landed pull per indicator and one per disease, combined into a dataset of each kind."""
+    health = [_through_pages(pull, HEALTH_RECORD, f"pull-{code}") for code, pull in _health_pulls(wh).items()]
+    return stacked([_as_text(union_pulls(health), "health"), _as_text(_communicable_pages(wh), "communicable")])
 
 
 def src_static_dims(wh: Warehouse) -> DataFrame:
@@ -247,21 +278,47 @@ def snk_core_roundtrip(wh: Warehouse) -> DataFrame:
 
 
 def snk_csv_roundtrip(wh: Warehouse) -> DataFrame:
-    """The health fact exported with a header and fixed column order, and read back."""
-    path = scratch_path(wh.spark, "export")
-    write_csv(wh.health, path, [(c, c) for c in HEALTH_FACT.columns])
-    schema = ", ".join(f"{c} STRING" for c in HEALTH_FACT.columns)
-    back = wh.spark.read.schema(schema).option("header", True).csv(path)
-    number = HEALTH_FACT.number_type
-    return back.select(
-        "indicator_code",
-        "country_code",
-        F.col("year_val").cast("smallint").alias("year_val"),
-        "sex_code",
-        *[F.col(c).cast(number).alias(c) for c in ("metric_value", "low_ci", "high_ci")],
+    """Pages of every pull landed as the five CSV files, and all of them read back."""
+    pages, landed = scratch_path(wh.spark, "pulls"), scratch_path(wh.spark, "landed")
+    for code, pull in _health_pulls(wh).items():
+        write_pages(pull, HEALTH_RECORD, f"{pages}/{code}")
+    for code, pull in _comm_pulls(wh).items():
+        write_pages(pull, COMM_RECORD, f"{pages}/{code}")
+    write_pages(_as_landed(wh, STG_NCD), NCD_RECORD, f"{pages}/{NCD_PULL}")
+    write_pages(_as_landed(wh, STG_COUNTRY), COUNTRY_RECORD, f"{pages}/{COUNTRY_PULL}")
+    write_pages(_regions(wh), REGION_RECORD, f"{pages}/{REGION_PULL}")
+    land_pages(wh.spark, wh.profile, pages, landed, one_page_per_file=False)
+
+    def records(file: str, rows: DataFrame) -> DataFrame:
+        # A carriage return inside a value belongs to it; the answer leaves it out on both sides.
+        text = F.translate(F.concat_ws("|", *rows.columns), "\r", "")
+        return rows.select(F.lit(file).alias("file_name"), text.alias("record"))
+
+    frames = [
+        records(CSV_FILES[t], read_text_csv(wh.spark, f"{landed}/{CSV_FILES[t]}", t, line_sep="\r\n").drop("source_file", "ingested_at"))
+        for t in staging_reports.TABLES
+    ]
+    schema = ", ".join(f"{c} STRING" for c in REGION_RECORD)
+    reader = wh.spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    regions = reader.option("lineSep", "\r\n").csv(f"{landed}/{REGIONS_FILE}")
+    return stacked([*frames, records(REGIONS_FILE, regions)])
+
+
+def snk_views_by_name(wh: Warehouse) -> DataFrame:
+    """Rows of each published view, read by its name as a SQL user would."""
+    _, published = _refreshed(wh)
+    names = publish_views(published)
+    return stacked(
+        [wh.spark.table(name).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("view_name"), "n_rows") for name in names]
     )
 
 
+def _repaired(wh: Warehouse) -> PublishedWarehouse:
+    root = scratch_path(wh.spark, "repaired")
+    refresh_core(wh.spark, wh.profile, wh.stg, root)
+    return publish_repaired(wh.spark, wh.profile, root)
+
+
 def refresh_summary(wh: Warehouse) -> DataFrame:
     return _refreshed(wh)[0]
 
@@ -331,20 +388,17 @@ def fn_smoke(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- registry ----------------------------------------------------------------
 
 
-def _line_duplicates(key: list[str], limit: int) -> Job:
-    """Duplicate business keys of the raw order lines, which do repeat."""
-    return lambda spark, sf_dir: portable(duplicates(read_table(spark, sf_dir, "lineitem"), key, limit))
-
-
 def _source_jobs() -> dict[str, Job]:
     plans = (
         src_csv_staging,
         src_lineage,
+        src_rejects,
         src_json_pages,
         src_multi_indicator,
         src_static_dims,
         snk_core_roundtrip,
         snk_csv_roundtrip,
+        snk_views_by_name,
     )
     jobs = {plan.__name__: _job(plan) for plan in plans}
     return {**jobs, "refresh_core": _job(refresh_summary)}
@@ -354,10 +408,9 @@ def jobs() -> dict[str, Job]:
     return {
         **_source_jobs(),
         **{name: _job(plan) for name, plan in PLANS.items()},
-        # Loaded facts hold no duplicates; the raw lines do, so the check runs on those.
-        "dq_dups_health": _line_duplicates(["l_orderkey", "l_linenumber"], 20),
-        "dq_dups_ncd": _line_duplicates(["l_orderkey", "l_suppkey"], 10),
-        "dq_dups_comm": _line_duplicates(["l_orderkey", "l_partkey"], 10),
+        # The repair is published, and checked on what readers then see.
+        "dq_repair_inverted": _job(lambda wh: quality.published_bounds(_repaired(wh))),
+        "dq_repair_verify": _job(lambda wh: quality.remaining_inverted(_repaired(wh))),
         "fn_safe_pct": fn_safe_pct,
         "fn_smoke": fn_smoke,
     }

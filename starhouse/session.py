@@ -1,7 +1,7 @@
-"""Session settings for stand-alone runs (tests, bench, command line).
+"""Session settings for the benchmark and the tests, on one machine.
 
-On a cluster the session comes from the submitter; nothing in the library
-depends on settings made here beyond Spark's own defaults.
+Anything else, the command line included, takes the session as it is configured
+and submitted; nothing in the library depends on settings made here.
 """
 
 from __future__ import annotations

@@ -2,7 +2,7 @@
 
 A refresh writes ``<root>/version=<id>/<table>`` and, once the new version has
 passed its checks, one small marker under ``<root>/published``. Readers follow
-the newest marker, so they see the old version or the new one and never a mix,
+the marker published last, so they see the old version or the new one and never a mix,
 and a refresh that fails leaves no trace they can see.
 """
 
@@ -25,18 +25,39 @@ def version_path(root: str, version: str) -> str:
     return f"{root.rstrip('/')}/version={version}"
 
 
-def publish(summary: DataFrame, root: str, version: str) -> None:
-    """Write the marker; ``summary`` is the one-row outcome kept with it."""
-    marker = summary.withColumn("version", F.lit(version))
+def publish(summary: DataFrame, root: str, version: str, tables: dict[str, str] | None = None) -> None:
+    """Write the marker; ``summary`` is the one-row outcome kept with it.
+
+    ``tables`` names the tables that this version takes over from an earlier one, and
+    that version. The marker bears the time of publishing: of two refreshes that overlap,
+    the one that was published last is current, whichever began first.
+    """
+    taken = F.create_map(*[F.lit(x) for pair in (tables or {}).items() for x in pair]) if tables else F.lit(None)
+    now = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
+    marker = summary.withColumns(
+        {"version": F.lit(version), "published_at": F.lit(now), "tables": taken.cast("map<string,string>")}
+    )
     marker.coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/published")
 
 
-def published_version(spark: SparkSession, root: str) -> str | None:
+def published(spark: SparkSession, root: str) -> tuple[str, dict[str, str]] | None:
+    """The current version and the tables it takes from earlier ones; None before the first."""
     try:
-        markers = spark.read.schema("version string").json(f"{root.rstrip('/')}/published")
-    except AnalysisException:
-        return None  # nothing published yet
-    return markers.agg(F.max("version")).first()[0]
+        markers = spark.read.schema("version string, published_at string, tables map<string,string>").json(
+            f"{root.rstrip('/')}/published"
+        )
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    order = F.struct(F.coalesce("published_at", "version"), "version")
+    row = markers.agg(F.max_by(F.struct("version", "tables"), order).alias("m")).first()
+    return (row.m.version, row.m.tables or {}) if row.m else None
+
+
+def published_version(spark: SparkSession, root: str) -> str | None:
+    found = published(spark, root)
+    return found[0] if found else None
 
 
 def published_summary(spark: SparkSession, root: str, version: str, schema: str) -> DataFrame:

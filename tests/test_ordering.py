@@ -104,3 +104,26 @@ def test_concentration_counts_all_peers(spark):
         (3, "c", 30, 31),
         (4, "d", 30, 31),
     ]
+
+
+@pytest.fixture(scope="module")
+def with_nulls(spark):
+    data = [("a", "g", "1"), ("b", "g", None), ("c", "g", "3"), ("d", None, "5"), ("e", None, "5"), ("f", "none", None)]
+    rows = [(c, g, Decimal(v) if v else None) for c, g, v in data]
+    return spark.createDataFrame(rows, "code string, grp string, value decimal(18,2)")
+
+
+def test_dense_rank_keeps_nulls(with_nulls):
+    got = {r.code: r.rk for r in with_dense_rank(with_nulls, "grp", "value", "rk").collect()}
+    assert got == {"c": 1, "a": 2, "b": 3, "d": 1, "e": 1, "f": 1}
+
+
+def test_running_total_keeps_nulls(with_nulls):
+    got = {r.code: r.upto for r in with_running_total(with_nulls, ["grp"], ["code"], "value", "upto").collect()}
+    assert got == {"a": 1, "b": 1, "c": 4, "d": 5, "e": 10, "f": 0}
+
+
+def test_quantiles_leave_nulls_out(with_nulls):
+    got = {r.grp: (r.n_rows, r.mid) for r in group_quantiles(with_nulls, "grp", "value", {"mid": "0.5"}).collect()}
+    assert got == {"g": (2, 2), None: (2, 5), "none": (0, None)}
+    assert group_quantiles(with_nulls.filter("false"), "grp", "value", {"mid": "0.5"}).count() == 0

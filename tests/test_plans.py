@@ -7,6 +7,7 @@ import re
 import pytest
 
 from starhouse import registry
+from starhouse.operators.constraints import violations
 from starhouse.plans.catalog import PLANS, QUESTIONS
 from starhouse.schemas import STG_COMM, STG_HEALTH, STG_NCD
 from starhouse.sources.order_tables import stage
@@ -43,8 +44,18 @@ def test_year_prunes_folders_and_codes_reach_the_scan(retail):
 def test_top_n_filters_before_the_shuffle(retail):
     for name in ("q04_top3_per_region", "q12_top_cause", "q16_latest_top5"):
         assert "WindowGroupLimit" in physical(QUESTIONS[name](retail)), name
-    for name in ("q03_top10", "q06_indicator_pair", "q14_cross_fact", "q19_total_burden"):
-        assert "TakeOrderedAndProject" in physical(QUESTIONS[name](retail)), name
+    for name in ("q03_top10", "q06_indicator_pair", "q14_cross_fact", "q19_total_burden", "q20_double_burden", "rp20_double15"):
+        assert "TakeOrderedAndProject" in physical(PLANS[name](retail)), name
+
+
+def test_violations_scan_a_table_once(retail):
+    text = physical(violations(retail.health, "t", ["country_code", "metric_value"], ["country_code", "year_val"]))
+    assert text.count("FileScan") == 1
+
+
+def test_the_double_burden_reduces_facts_before_it_aggregates(retail):
+    text = retail.spark._jvm.PythonSQLUtils.explainString(PLANS["q20_double_burden"](retail)._jdf.queryExecution(), "simple")
+    assert text.count("LeftSemi") >= 2
 
 
 def test_two_years_or_indicators_cost_one_scan_of_the_fact(retail):

@@ -55,7 +55,8 @@ def test_listings(wh):
     assert [(r.country_code, int(r.low_ci), int(r.high_ci)) for r in detail] == [("BBB", 9, 3)]
     crossed = CHECKS["dq_cross_consistency"](wh).collect()
     assert [(r.country_code, r.gap) for r in crossed] == [("BBB", Decimal("-1.0"))]
-    assert CHECKS["dq_dups_health"](wh).count() == 0
+    # Three staged rows without a readable year share the rest of their key.
+    assert [(r.year_val, r.n_dups) for r in CHECKS["dq_dups_health"](wh).collect()] == [(None, 3)]
 
 
 def test_coverage(wh):

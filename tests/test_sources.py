@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from starhouse import HEALTH
 from starhouse.schemas import STG_COUNTRY, STG_HEALTH, staging_columns
 from starhouse.sinks.files import write_csv
 from starhouse.sources import read_pages, read_text_csv, static_dim, union_pulls
-from starhouse.sources.json_pages import COMM_RECORD, COUNTRY_RECORD, HEALTH_RECORD
+from starhouse.sources.csv_text import csv_rejects
+from starhouse.sources.json_pages import COMM_RECORD, COUNTRY_RECORD, HEALTH_RECORD, page_rejects
 
 LINES = [
     "country_code,country_name,parent_code,parent_title",
@@ -107,3 +110,58 @@ def test_csv_to_staging_schema(spark, tmp_path):
     )
     row = read_text_csv(spark, str(tmp_path / "h.csv"), STG_HEALTH).first()
     assert (row.raw_numeric_value, row.raw_low, row.raw_high) == ("1.5", "", "")
+
+
+HEADER = "country_code,country_name,parent_code,parent_title"
+
+
+@pytest.mark.parametrize(
+    "lines, record",
+    [
+        ([HEADER, "AAA,Alpha,AFR,Africa", "BBB,Beta,AFR,Africa,more"], "BBB,Beta,AFR,Africa,more"),
+        ([HEADER, "AAA,Alpha,AFR,Africa", "BBB,Beta,AFR"], "BBB,Beta,AFR"),
+    ],
+)
+def test_rows_that_do_not_fit_are_refused(spark, tmp_path, lines, record):
+    path = tmp_path / "countries.csv"
+    path.write_text("\n".join(lines) + "\n")
+    with pytest.raises(Exception, match="not a row of the table"):
+        read_text_csv(spark, str(path), STG_COUNTRY).collect()
+    with pytest.raises(Exception, match="not a row of the table"):
+        read_text_csv(spark, str(path), STG_COUNTRY).count()
+    kept = read_text_csv(spark, str(path), STG_COUNTRY, accept_rejects=True).collect()
+    assert [r.raw_country_code for r in kept] == ["AAA"]
+    assert [tuple(r) for r in csv_rejects(spark, str(path), STG_COUNTRY).collect()] == [("countries.csv", record)]
+
+
+def test_a_header_in_another_order_is_refused(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("country_name,country_code,parent_code,parent_title\nSpain,ESP,EUR,Europe\n")
+    with pytest.raises(Exception, match="header|schema"):
+        read_text_csv(spark, str(tmp_path / "c.csv"), STG_COUNTRY).collect()
+
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    (tmp_path / "c.csv").write_text(HEADER + '\nESP,"Spa\nin",EUR,Europe\n')
+    with pytest.raises(Exception, match="not a row of the table"):
+        read_text_csv(spark, str(tmp_path / "c.csv"), STG_COUNTRY).collect()
+    rows = read_text_csv(spark, str(tmp_path / "c.csv"), STG_COUNTRY, multi_line=True).collect()
+    assert [r.raw_country_name for r in rows] == ["Spa\nin"]
+
+
+@pytest.mark.parametrize("one_page_per_file", [False, True])
+def test_damaged_pages_are_refused(spark, tmp_path, one_page_per_file):
+    good = json.dumps({"value": [{"Code": "AAA", "Title": "Alpha"}]})
+    (tmp_path / "a.json").write_text(good)
+    for name, text in (("b.json", '{"value": [{"Code": "BBB"}, {"Code": "C'), ("c.json", '{"other": 1}')):
+        (tmp_path / name).write_text(text)
+        with pytest.raises(Exception, match="damaged page"):
+            read_pages(spark, str(tmp_path), COUNTRY_RECORD, one_page_per_file=one_page_per_file).collect()
+        with pytest.raises(Exception, match="damaged page"):
+            read_pages(spark, str(tmp_path), COUNTRY_RECORD, one_page_per_file=one_page_per_file).count()
+        kept = read_pages(
+            spark, str(tmp_path), COUNTRY_RECORD, one_page_per_file=one_page_per_file, accept_rejects=True
+        ).collect()
+        assert [r.country_code for r in kept] == ["AAA"]
+        refused = page_rejects(spark, str(tmp_path), COUNTRY_RECORD, one_page_per_file).collect()
+        assert [r.source_file for r in refused] == [name]
+        (tmp_path / name).unlink()
