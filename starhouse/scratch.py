@@ -5,7 +5,10 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -27,7 +30,36 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
+_own = threading.local()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path nobody has used: one folder per application, one name per call."""
     app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/starhouse/{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/starhouse/{app}/{label}-{uuid.uuid4().hex}"
+    for open_ in getattr(_own, "paths", []):
+        open_.append(path)
+    return path
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at the end, the scratch tables that this thread makes inside.
+
+    For work whose result is written somewhere else by then. Spark has no public call to
+    delete files; where the session offers no way, the tables stay until they are cleared
+    with the application's folder.
+    """
+    if not hasattr(_own, "paths"):
+        _own.paths = []
+    made: list[str] = []
+    _own.paths.append(made)
+    try:
+        yield
+    finally:
+        _own.paths.pop()
+        if (jvm := getattr(spark, "_jvm", None)) is not None:
+            conf = spark._jsc.hadoopConfiguration()
+            for name in made:
+                path = jvm.org.apache.hadoop.fs.Path(name)
+                path.getFileSystem(conf).delete(path, True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starhouse.operators.ordering import with_global_index
 from starhouse.schemas import FactSpec
+from starhouse.scratch import released
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -19,16 +20,18 @@ def write_fact(df: DataFrame, spec: FactSpec, path: str) -> None:
     Ids follow the load order, whose first column is the year, so rows reach the
     writer already clustered by year: few files per folder without a second
     shuffle. Files stay sorted by category and country, so Parquet statistics
-    skip row groups on those filters.
+    skip row groups on those filters. The numbering writes the typed rows once to the
+    shared folder; that copy goes as soon as the fact is written, or has failed.
     """
-    numbered = with_global_index(df.select(*spec.columns), spec.load_order, "fact_id")
-    (
-        numbered.withColumn("created_at", F.current_timestamp())
-        .sortWithinPartitions(*spec.load_order)
-        .write.mode("errorifexists")
-        .partitionBy("year_val")
-        .parquet(path)
-    )
+    with released(df.sparkSession):
+        numbered = with_global_index(df.select(*spec.columns), spec.load_order, "fact_id")
+        (
+            numbered.withColumn("created_at", F.current_timestamp())
+            .sortWithinPartitions(*spec.load_order)
+            .write.mode("errorifexists")
+            .partitionBy("year_val")
+            .parquet(path)
+        )
 
 
 def write_csv(df: DataFrame, path: str, columns: list[tuple[str, str]], line_sep: str = "\r\n") -> None:

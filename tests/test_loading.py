@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from planted import BOTH, HALE, HEALTH_LOADED, HEALTH_ROWS, LE, LE60, MORT, frames
@@ -14,6 +15,7 @@ from starhouse.plans.refresh import RefreshRejected, publish_repaired, refresh_c
 from starhouse.plans.views import VIEWS, publish_views
 from starhouse.plans.warehouse import DerivedWarehouse, PublishedWarehouse
 from starhouse.schemas import COMM_FACT, FACTS, HEALTH_FACT, NCD_FACT, STG_COUNTRY, STG_HEALTH, staging_schema
+from starhouse.scratch import shared_folder
 from starhouse.sinks.versions import new_version, publish, published_version
 
 
@@ -269,3 +271,10 @@ def test_distinct_countries(spark):
 
 def test_facts_know_their_tables():
     assert [s.name for s in (HEALTH_FACT, NCD_FACT, COMM_FACT)] == [s.name for s in FACTS]
+
+
+def test_a_refresh_leaves_no_copy_of_its_facts(spark, staged, tmp_path):
+    folder = Path(shared_folder(spark)) / "starhouse" / spark.sparkContext.applicationId
+    before = set(folder.glob("ordered-*"))
+    refresh_core(spark, HEALTH, staged, str(tmp_path / "core"))
+    assert set(folder.glob("ordered-*")) == before
