@@ -6,7 +6,7 @@ neighbouring words, so a text may switch languages. Forward-backward gives each
 posterior, and a document's language is the one with the largest mean posterior.
 
 Training uses a bounded sample (``sample_docs`` documents a language, a slice of
-``slice_words`` words of each, chosen by a hash of the id). It pairs slices into switched
+``slice_words`` words of each, chosen by a hash). It pairs slices into switched
 sequences, so the transitions see changes of language. Prediction runs over every word of
 every text inside the tasks that scan the documents; nothing is shuffled.
 
@@ -211,22 +211,38 @@ def fit(slices: list[tuple[str, list[str]]], buckets: int = 1 << 15, rounds: int
 def training_slices(
     docs: DataFrame, usable: Column, sample_docs: int, slice_words: int
 ) -> list[tuple[str, list[str]]]:
-    """At most ``sample_docs`` slices a language; the window limit applies before the shuffle."""
-    order = Window.partitionBy("lang").orderBy("_draw", "text")
+    """Slices of the ``sample_docs`` documents of each language with the smallest draws.
+
+    A draw is a hash of id and text. Documents are counted first, and only draws below four
+    times the share that is needed go on, so a language's window sees about four times the
+    sample however many documents there are.
+    """
+    known = docs.select("doc_id", "text", "lang").filter(usable & F.col("lang").isNotNull())
+    counts = known.groupBy("lang").count().limit(_MAX_LANGUAGES + 1).collect()
+    if len(counts) > _MAX_LANGUAGES:
+        raise ValueError(f"more than {_MAX_LANGUAGES} languages")
+    if not counts:
+        return []
+    top = 1 << 31
+    limit = F.lit(0)
+    for r in counts:
+        limit = F.when(F.col("lang") == r.lang, min(top, 4 * sample_docs * top // r["count"] + 1)).otherwise(limit)
     words = F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(1))
-    start = F.greatest(F.lit(1), F.lit(1) + F.pmod("_draw", F.greatest(F.size("_words") - slice_words, F.lit(1))))
-    sample = (
-        docs.select("doc_id", "text", "lang")
-        .filter(usable & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-        .withColumn("_draw", F.xxhash64("doc_id"))
-        .withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") <= sample_docs)
+    start = 1 + F.pmod("_draw", F.greatest(F.size("_words") - slice_words, F.lit(1)))
+    rows = (
+        known.filter(F.col("text").rlike(r"\p{L}"))
+        .withColumn("_draw", F.pmod(F.xxhash64("doc_id", "text"), F.lit(top)))
+        .filter(F.col("_draw") < limit)
         .withColumn("_words", words)
-        .select("lang", F.slice("_words", start.cast("int"), slice_words).alias("words"))
+        .select("lang", "_draw", F.slice("_words", start.cast("int"), slice_words).alias("words"))
+        .groupBy("lang", "_draw")
+        .agg(F.first("words").alias("words"))
+        .withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy("_draw")))
+        .filter(F.col("_rank") <= sample_docs)
+        .orderBy("lang", "_draw")
+        .select("lang", "words")
+        .collect()
     )
-    rows = sample.limit(sample_docs * _MAX_LANGUAGES + 1).collect()
-    if len(rows) > sample_docs * _MAX_LANGUAGES:
-        raise ValueError(f"more than {_MAX_LANGUAGES} languages")
     return [(r.lang, r.words) for r in rows]
 
 
