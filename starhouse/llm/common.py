@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,3 +32,11 @@ def document_key(text: Column) -> Column:
     """A digest of id and text. Rows that agree in both share it, and with it their results,
     so null and repeated ids need no care elsewhere."""
     return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), text)))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once a row, however often ``body`` names it.
+
+    Inside a higher-order function Spark evaluates an expression anew for each element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -11,8 +11,8 @@ The error budget is ``rate`` of an item's characters, rounded down.
 
 Defined results: null or empty texts match nothing; items without letters or digits are
 skipped; an item too short for any error must occur as whole words; one match an item and
-document is returned, the best and then the earliest; rows that repeat, on either side, give
-repeated rows. Only the named columns are read.
+document is returned, the best and then the earliest; documents that repeat give repeated
+rows, items that repeat in id and text count once. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -132,7 +132,7 @@ class Matcher:
 
 
 def _search(docs: DataFrame, items: list[tuple[int, str]], rate: float, text: str) -> Column:
-    shared = docs.sparkSession.sparkContext.broadcast(items)  # at most BLOCK_CHARS characters or one item
+    shared = docs.sparkSession.sparkContext.broadcast(items)  # about BLOCK_CHARS / 2 characters
 
     @F.pandas_udf(_MATCH)
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -158,12 +158,12 @@ def with_matches(
     Places are in the text as compared. Items come in blocks, so their number is unbounded.
     """
     words = F.col("text").rlike(r"[\p{L}\p{N}]")
-    chosen = items.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter(words)
+    chosen = items.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter(words).distinct()
     total = chosen.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = total // BLOCK_CHARS + 1
+    blocks = 2 * total // BLOCK_CHARS + 1  # half full on average, as items are dealt by hash
     found = []
     for k in range(blocks):
-        rows = chosen.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).collect()
+        rows = chosen.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
         found.append(_search(docs, list(zip([r.item_id for r in rows], normal([r.text for r in rows]))), rate, text))
     return docs.withColumn(into, F.concat(*found) if len(found) > 1 else found[0])
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.llm.common import document_key, stored, text_or_empty
+from starhouse.llm.common import document_key, let, stored, text_or_empty
 
 MIN_SITES = 10
 #: Sketches of 2**10 buckets: a standard error of about 3 %.
@@ -85,7 +85,7 @@ def without_boilerplate(
     keyed = docs.withColumn("_doc", document_key(text_or_empty(text)))
     lines = F.split(text_or_empty(text), "\n", -1)
     places = F.sequence(F.lit(0), F.size(lines) - 1)
-    staying = F.transform(F.array_except(places, F.col("_gone")), lambda i: F.get(lines, i))
+    staying = let(lines, lambda own: F.transform(F.array_except(places, F.col("_gone")), lambda i: F.get(own, i)))
     gone = F.coalesce(F.size("_gone"), F.lit(0)).cast("long")
     return (
         keyed.join(removed, "_doc", "left")

@@ -18,12 +18,10 @@ document for this purpose and get equal results each.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starhouse.llm.common import document_key, stored, text_or_empty
+from starhouse.llm.common import document_key, let, stored, text_or_empty
 
 WORDS = 5
 BINS = 256
@@ -35,11 +33,6 @@ _EMPTY = (1 << _BIN_SHIFT) - 1
 _LOW_BITS = 0x0101010101010101
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once a row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def shingle_hashes(text: Column) -> Column:
     """One hash for each shingle, as an array; none for the empty text."""
     words = F.transform(F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(1)), lambda w: F.xxhash64(w))
@@ -54,7 +47,7 @@ def shingle_hashes(text: Column) -> Column:
             .otherwise(F.array().cast("array<bigint>"))
         )
 
-    return _let(words, shingles)
+    return let(words, shingles)
 
 
 def _is_empty(x: Column) -> Column:
@@ -75,7 +68,7 @@ def bin_minima(hashes: Column) -> Column:
 
         return F.filter(h, begins)
 
-    return _let(F.sort_array(F.concat(hashes, marks)), firsts)
+    return let(F.sort_array(F.concat(hashes, marks)), firsts)
 
 
 def densified(minima: Column) -> Column:
@@ -92,7 +85,7 @@ def densified(minima: Column) -> Column:
 
         return F.transform(all_bins, value)
 
-    return _let(minima, lambda m: _let(F.filter(m, lambda x: ~_is_empty(x)), lambda full: fill(m, full)))
+    return let(minima, lambda m: let(F.filter(m, lambda x: ~_is_empty(x)), lambda full: fill(m, full)))
 
 
 def fingerprint(text: Column) -> Column:
@@ -108,7 +101,7 @@ def fingerprint(text: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), F.lit(_LONGS - 1)), eight)
 
     zeros = F.array_repeat(F.lit(0).cast("bigint"), _LONGS)
-    return F.when(text == "", zeros).otherwise(_let(densified(bin_minima(shingle_hashes(text))), packed))
+    return F.when(text == "", zeros).otherwise(let(densified(bin_minima(shingle_hashes(text))), packed))
 
 
 def as_hex(fingerprint: Column) -> Column:

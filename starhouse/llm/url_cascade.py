@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.llm.common import stored
+from starhouse.llm.common import let, stored
 
 #: Bound of all levels together: 8 MB of filter.
 MAX_WORDS = 1_000_000
@@ -51,9 +51,12 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def domains(host: Column) -> Column:
     """The host and its parent domains of two labels or more."""
-    labels = F.split(host, r"\.")
-    starts = F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1)))
-    return F.transform(starts, lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+
+    def parents(labels: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1)))
+        return F.transform(starts, lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+
+    return let(F.split(host, r"\."), parents)
 
 
 def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
