@@ -168,19 +168,21 @@ def _spans(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
-_SIGNED = "_node binary, _bands array<bigint>, _bits array<bigint>, _chars bigint"
+_SIGNED = "_node binary, _id string, _bands array<bigint>, _bits array<bigint>, _chars bigint"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     many = pa.list_(pa.int64())
-    schema = pa.schema([("_node", pa.binary()), ("_bands", many), ("_bits", many), ("_chars", pa.int64())])
+    schema = pa.schema(
+        [("_node", pa.binary()), ("_id", pa.string()), ("_bands", many), ("_bits", many), ("_chars", pa.int64())]
+    )
     for batch in batches:
         texts = batch.column("_text")
         for start, end in _spans(pc.binary_length(texts).to_numpy()):
             seeds, owner, _ = elements(texts.slice(start, end - start))
             band, bits = bands_and_bits(signatures(seeds, owner, end - start))
             real = np.bincount(owner, minlength=end - start) > 0
-            columns = [batch.column("_node").slice(start, end - start).filter(pa.array(real))]
+            columns = [batch.column(c).slice(start, end - start).filter(pa.array(real)) for c in ("_node", "_id")]
             for values in (band[real], bits[real]):
                 lists = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
                 columns.append(pa.ListArray.from_arrays(pa.array(lists), pa.array(values.ravel())))
@@ -276,6 +278,11 @@ def _node() -> Column:
     return F.unhex(F.md5(text_or_empty()))
 
 
+def _id() -> Column:
+    """The id as a column that is never null, for joins that spread the copies of a text."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+
+
 def _agreeing(a: str, b: str) -> Column:
     """Coordinates whose four bits agree."""
     differing = F.lit(0)
@@ -320,14 +327,17 @@ def components(links: DataFrame) -> DataFrame:
 
 def text_classes(docs: DataFrame) -> DataFrame:
     """(node, class) of every text that has a near-duplicate; a node is a text's digest."""
-    keyed = docs.select(_node().alias("_node"), text_or_empty().alias("_text"))
+    keyed = docs.select(_node().alias("_node"), _id().alias("_id"), text_or_empty().alias("_text"))
     signed = stored(keyed.mapInArrow(_sign, _SIGNED).dropDuplicates(["_node"]), "signatures")
     rows = signed.select("_node", "_chars", F.explode("_bands").alias("_band"))
     crowded = rows.groupBy("_band").agg(F.count("*").alias("_n")).filter("_n > 1")
     rows = stored(rows.join(crowded, "_band"), "buckets")
     weight = rows.groupBy("_node").agg(F.sum("_n").alias("_weight"))
-    involved = stored(weight.join(signed.select("_node", "_bits"), "_node"), "involved")
-    texts = stored(keyed.join(involved.select("_node"), "_node").dropDuplicates(["_node"]), "texts")
+    involved = stored(weight.join(signed.select("_node", "_id", "_bits"), "_node"), "involved")
+    # One row of each text, by the id that its signature was taken from: copies lie in many tasks.
+    one = involved.select("_node", "_id")
+    texts = keyed.join(one, ["_node", "_id"]).dropDuplicates(["_node", "_id"]).drop("_id")
+    texts = stored(texts, "texts")
 
     hubs = (
         rows.join(involved.select("_node", "_weight"), "_node")
@@ -391,8 +401,9 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         _members(docs)
         .groupBy("_class")
         .agg(F.min(F.struct("doc_id", "_node")).alias("_first"))
-        .select(F.col("_first._node").alias("_node"), F.col("_first.doc_id").alias("_keeper"))
+        .select(F.col("_first._node").alias("_node"), F.col("_first.doc_id").alias("doc_id"))
+        .select("_node", _id().alias("_id"))
     )
-    keyed = docs.withColumn("_node", _node())
-    kept = keyed.join(stored(keepers, "keepers"), "_node").filter(F.col("doc_id").eqNullSafe(F.col("_keeper")))
-    return kept.dropDuplicates(["_node"]).drop("_node", "_keeper")
+    keyed = docs.withColumn("_node", _node()).withColumn("_id", _id())
+    kept = keyed.join(stored(keepers, "keepers"), ["_node", "_id"])
+    return kept.dropDuplicates(["_node", "_id"]).drop("_node", "_id")
