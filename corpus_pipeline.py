@@ -16,7 +16,7 @@ from starhouse.llm import dart_minhash, edit_matching, language_crf, line_spread
 from starhouse.llm.common import DOCUMENT_COLUMNS, stored, table
 
 #: A document is rejected when no language reaches this share of its words.
-MIN_LANGUAGE_SCORE = 0.4
+MIN_LANGUAGE_SCORE = 0.3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
