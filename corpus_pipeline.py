@@ -30,7 +30,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes cross-site boilerplate lines out of all documents but the first that has them."""
-    cleaned = line_spread.without_boilerplate(docs.select(*DOCUMENT_COLUMNS))
+    docs = docs.select(*DOCUMENT_COLUMNS)
+    cleaned = line_spread.without_boilerplate(docs, min_sites=line_spread.threshold(docs))
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT_COLUMNS)
 
 

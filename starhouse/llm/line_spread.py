@@ -5,7 +5,8 @@ before and after the shuffle, so a line that stands in a third of all documents
 per task by then. Estimates far from the threshold decide at once; lines near it get an
 exact distinct count of their sites. Each boilerplate line stays where it occurs first
 (smallest document, then smallest line number) and goes everywhere else, so no text is lost
-from the corpus as a whole.
+from the corpus as a whole. The number of sites is a parameter: ``MIN_SITES``, which the
+registered SQL states as well, or ``threshold``, which is lower for few or unequal sites.
 
 Defined results: lines are compared without outer spaces and case-sensitively; blank lines
 are never boilerplate; null text is empty text, a null site is a site of its own; rows equal
@@ -15,12 +16,16 @@ the named columns are read; all of ``docs`` are returned by ``without_boilerplat
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starhouse.llm.common import document_key, let, stored, text_or_empty
 
 MIN_SITES = 10
+#: A line on fewer sites is never boilerplate, however few sites a corpus has.
+LEAST_SITES = 3
 #: Sketches of 2**10 buckets: a standard error of about 3 %.
 SKETCH_BITS = 10
 #: Share of the threshold on either side within which sites are counted exactly (3 errors).
@@ -42,6 +47,17 @@ def _lines(docs: DataFrame, text: str, site: str) -> DataFrame:
     )
 
 
+def threshold(docs: DataFrame, site: str = "source") -> int:
+    """Half the effective number of sites, at least ``LEAST_SITES`` and at most ``MIN_SITES``.
+
+    The effective number is the inverse chance that two documents share a site: a site with
+    a third of the documents takes copies that would otherwise lie on sites of their own.
+    """
+    n = F.count("*").cast("double").alias("_n")
+    total, squares = docs.groupBy(site).agg(n).agg(F.sum("_n"), F.sum(F.col("_n") * F.col("_n"))).first()
+    return max(LEAST_SITES, min(MIN_SITES, math.ceil(total * total / squares / 2))) if total else MIN_SITES
+
+
 def boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """Hashes of the lines that occur on ``min_sites`` sites or more, and where each is first."""
     lines = _lines(docs, text, site)

@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from starhouse.llm import line_spread, one_permutation, secret_links, token_cache
 from starhouse.llm.common import table
 
@@ -199,6 +200,27 @@ def test_exact_at_the_threshold(documents, sites):
     assert removed == (sites * 2 - 1 if sites >= line_spread.MIN_SITES else 0)
 
 
+def test_threshold_follows_the_sites(spark, documents):
+    passage = "A passage that many documents of this corpus share."
+
+    def kept(site, copies):
+        rows = [(i, f"own {i}" + f"\n{passage}" * (i in copies), "en", site(i), 1, "x", "y", "z") for i in range(180)]
+        out = corpus_pipeline.dedup_lines(spark, documents(rows), "").collect()
+        assert len(out) == 180
+        return sum(passage in r.text for r in out)
+
+    def hot(i):
+        return "hot" if i % 3 == 0 else f"s{i % 20}"
+
+    copies = [i for i in range(180) if i % 3 == 0][:4] + [i for i in range(20) if i % 3][:8]
+    assert len({hot(i) for i in copies}) == 9
+    assert kept(hot, copies) == 1
+    assert kept(lambda i: f"s{i % 5}", range(40)) == 1
+    assert kept(lambda i: f"s{i % 20}", range(9)) == 9
+    assert kept(lambda i: f"s{i % 20}", range(10)) == 1
+    assert line_spread.threshold(documents([])) == line_spread.MIN_SITES
+
+
 def test_odd_rows_keep_their_lines(documents, odd_rows):
     out = line_spread.without_boilerplate(documents(odd_rows), min_sites=2)
     rows = out.collect()
