@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
+
 from starhouse.llm import edit_matching as em
 from starhouse.llm import pfair_mix as pf
 from starhouse.llm.common import table
@@ -145,3 +147,44 @@ def test_odd_rows_are_mixed(documents, odd_rows):
     counts = Counter(r.source for r in rows)
     lags_within_one(rows, pf.tempered(counts), 2)
     assert pf.mixed(documents([])).count() == 0
+
+
+def largest_lag(rows, weights):
+    """Largest distance in blocks of any source from the fluid schedule, at the slots it uses and before them."""
+    blocks = {(r.source, r.block): r.slot for r in rows}
+    assert sorted(blocks.values()) == list(range(len(blocks)))
+    counts = Counter(s for s, _ in blocks)
+    names = sorted(counts, key=lambda s: (s is not None, s))
+    w, b = np.array([float(weights[s]) for s in names]), np.array([float(counts[s]) for s in names])
+    clock = np.unique(np.concatenate([b / w, np.linspace(0, (b / w).max(), 2000)]))
+    sent = np.array([np.minimum(w * v, b).sum() for v in clock])
+    worst = 0
+    for s, weight, own in zip(names, w, b):
+        slots = np.array([blocks[s, j] for j in range(int(own))])
+        assert (np.diff(slots) > 0).all()
+        for at, done in ((slots, np.arange(own)), (slots + 1, np.arange(1, own + 1))):
+            fluid = np.minimum(weight * np.interp(at, sent, clock), own)
+            worst = max(worst, np.abs(fluid - done).max())
+    return worst
+
+
+def test_more_sources_than_one_schedule_holds(documents):
+    n = pf.MAX_SOURCES + 100
+    names = ["hot"] * 1200 + [f"d{i % n}.org" for i in range(2 * n + 300)] + [None] * 40 + [""] * 9
+    rows = [(i, f"t{i}", "en", s, 1, "x", "y", "z") for i, s in enumerate(names)]
+    out = pf.mixed(documents(rows), block_rows=2).collect()
+    assert sorted((r.doc_id, r.source) for r in out if r.source) == sorted((i, s) for i, s in enumerate(names) if s)
+    assert len({(r.source, r.block, r.place) for r in out}) == len(rows) == len(out)
+    assert largest_lag(out, {s: k**0.5 for s, k in Counter(names).items()}) < 2
+
+
+def test_longer_schedules_than_one_period_table(monkeypatch, documents):
+    names = [f"s{i % 7 * (i % 3)}" for i in range(400)]
+    rows = [(i, f"t{i}", "en", s, 1, "x", "y", "z") for i, s in enumerate(names)]
+    parts = {s: 1_000_003 + 400_000 * i for i, s in enumerate(sorted(set(names)))}
+    out = pf.mixed(documents(rows), lambda counts: parts, block_rows=2).collect()
+    assert sorted(r.doc_id for r in out) == list(range(400))
+    assert largest_lag(out, parts) < 2
+    monkeypatch.setattr(pf, "MAX_SOURCES", 3)
+    again = pf.mixed(documents(rows), lambda counts: parts, block_rows=2).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, out))
