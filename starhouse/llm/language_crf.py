@@ -5,8 +5,10 @@ affixes (hashed) and the languages whose lexicon holds it; learned transitions l
 neighbouring words, so a text may switch languages. Forward-backward gives each word's
 posterior, and a document's language is the one with the largest mean posterior.
 
-Training uses a bounded sample (``sample_docs`` documents a language, a slice of
-``slice_words`` words of each, chosen by a hash). It pairs slices into switched
+Any number of languages is learned; memory and time of the model grow with it. Training uses
+a bounded sample (``sample_docs`` documents a language, fewer where more than
+``_FULL_SAMPLES`` languages share the bound, and a slice of ``slice_words`` words of each,
+chosen by a hash). It pairs slices into switched
 sequences, so the transitions see changes of language. Prediction runs over every word of
 every text inside the tasks that scan the documents; nothing is shuffled.
 
@@ -18,6 +20,7 @@ by ``with_language``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,11 +34,16 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 #: Words are runs of letters, in lower case.
 _WORD = r"(\p{L}+)"
-_MAX_LANGUAGES = 64
 _BLOCK = 64
+#: Languages up to which blocks' transfer matrices are cheaper than a step a word.
+_FEW_LANGUAGES = 16
+#: Languages that get a full sample; more of them share as many documents as these have.
+_FULL_SAMPLES = 32
 #: Bounds of what a Python worker keeps: distinct words remembered, characters handled at once.
 _REMEMBERED = 400_000
 _CHARS_AT_ONCE = 4_000_000
+#: Numbers in a table of words by languages, or of features by languages, made at once.
+_CELLS = 8_000_000
 
 
 @dataclass
@@ -43,7 +51,7 @@ class Crf:
     """Weights of a trained model; ``grams`` has one row a hashed feature and a last row of zeros."""
 
     languages: list[str]
-    lexicon: dict[str, int]  # word -> bit set of languages
+    lexicon: dict[str, list[int]]  # word -> its languages
     grams: np.ndarray
     lexical: np.ndarray  # row: language whose lexicon holds the word
     transitions: np.ndarray
@@ -52,12 +60,14 @@ class Crf:
         if not words:
             return np.zeros((0, len(self.languages)), np.float32)
         ids, starts = gram_features(words, len(self.grams) - 1)
-        scores = np.add.reduceat(sum(self.grams[own] for own in ids), starts, axis=0)
-        return (scores + self.lexicon_flags(words) @ self.lexical).astype(np.float32)
+        return (gram_scores(self.grams, ids, starts) + self.lexicon_flags(words) @ self.lexical).astype(np.float32)
 
     def lexicon_flags(self, words: list[str]) -> np.ndarray:
-        bits = np.fromiter((self.lexicon.get(w, 0) for w in words), np.uint64, len(words))
-        return ((bits[:, None] >> np.arange(len(self.languages), dtype=np.uint64)) & 1).astype(np.float32)
+        flags = np.zeros((len(words), len(self.languages)), np.float32)
+        for i, w in enumerate(words):
+            if w in self.lexicon:
+                flags[i, self.lexicon[w]] = 1
+        return flags
 
 
 def gram_features(words: list[str], buckets: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -85,6 +95,19 @@ def gram_features(words: list[str], buckets: int) -> tuple[list[np.ndarray], np.
     return found, starts
 
 
+def gram_scores(grams: np.ndarray, ids: list[np.ndarray], starts: np.ndarray) -> np.ndarray:
+    """Summed weights of each word's features, some words at a time."""
+    out = np.empty((len(starts), grams.shape[1]), grams.dtype)
+    ends = np.append(starts[1:], len(ids[0]))
+    start = 0
+    while start < len(starts):
+        end = max(start + 1, int(np.searchsorted(ends, starts[start] + _CELLS // grams.shape[1], side="right")))
+        part = slice(starts[start], ends[end - 1])
+        out[start:end] = np.add.reduceat(sum(grams[own[part]] for own in ids), starts[start:end] - starts[start], axis=0)
+        start = end
+    return out
+
+
 def _normal(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=-1, keepdims=True)
 
@@ -97,9 +120,12 @@ def posteriors(
     A text is cut into blocks of words. All blocks' transfer matrices are multiplied side by
     side, messages pass from block to block within each text, and then run through all blocks
     side by side: the steps number block length plus blocks of the longest text, not its words.
-    Texts of no words may occur.
+    Texts of no words may occur. Transfer matrices cost the cube of the number of languages a
+    word, so for many languages the steps are the words of the longest text.
     """
     size = emissions.shape[1]
+    if size > _FEW_LANGUAGES:
+        return _posteriors_by_word(emissions, transitions, lengths)
     blocks_of = -(-lengths // _BLOCK)
     n_blocks = int(blocks_of.sum())
     if not n_blocks:
@@ -147,56 +173,86 @@ def posteriors(
     return _normal(forward[column, row] + np.finfo(kind).tiny), ahead
 
 
+def _posteriors_by_word(
+    emissions: np.ndarray, transitions: np.ndarray, lengths: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """``posteriors`` with one step for each word of the longest text, side by side over texts."""
+    kind = emissions.dtype
+    local = np.exp(emissions - emissions.max(axis=1, keepdims=True)) + np.finfo(kind).tiny
+    move = np.exp(transitions - transitions.max()).astype(kind)
+    order = np.argsort(-lengths, kind="stable")  # texts still going at any step come first
+    first = (np.cumsum(lengths) - lengths)[order]
+    steps = int(lengths.max(initial=0))
+    going = np.searchsorted(-lengths[order], -np.arange(steps), side="left")
+    ahead, back = np.empty_like(local), np.empty_like(local)
+    message = np.ones((len(lengths), emissions.shape[1]), kind)
+    for t in range(steps):
+        at = first[: going[t]] + t
+        message = _normal((message[: going[t]] @ move) * local[at])
+        ahead[at] = message
+    message = np.ones((len(lengths), emissions.shape[1]), kind)
+    for t in range(steps - 1, -1, -1):
+        at = first[: going[t]] + t
+        back[at] = message[: going[t]]
+        message[: going[t]] = _normal((local[at] * back[at]) @ move.T)
+    back *= ahead
+    return _normal(back + np.finfo(kind).tiny), ahead
+
+
 def fit(slices: list[tuple[str, list[str]]], buckets: int = 1 << 15, rounds: int = 20, lexicon_words: int = 300) -> Crf:
     """Train on (language, words) slices by full-batch Adam on the conditional likelihood."""
     languages = sorted({lang for lang, _ in slices})
     size = len(languages)
     slices = sorted(((lang, words) for lang, words in slices if words), key=lambda x: (len(x[1]), x[0], x[1]))
     # Sequences that switch: each slice is followed by the half of another one.
+    place = {lang: k for k, lang in enumerate(languages)}
     sequences, labels = [], []
     for i, (lang, words) in enumerate(slices):
         other_lang, other = slices[(i * 7919 + 13) % len(slices)]
         tail = other[: max(1, len(other) // 2)]
         sequences.append(words + tail)
-        labels.append([languages.index(lang)] * len(words) + [languages.index(other_lang)] * len(tail))
+        labels.append([place[lang]] * len(words) + [place[other_lang]] * len(tail))
     counts: list[dict[str, int]] = [{} for _ in languages]
     for lang, words in slices:
-        own = counts[languages.index(lang)]
+        own = counts[place[lang]]
         for w in words:
             own[w] = own.get(w, 0) + 1
-    lexicon: dict[str, int] = {}
+    lexicon: dict[str, list[int]] = {}
     for k, own in enumerate(counts):
         for w, n in sorted(own.items(), key=lambda x: (-x[1], x[0]))[:lexicon_words]:
             if n > 1:
-                lexicon[w] = lexicon.get(w, 0) | 1 << k
+                lexicon.setdefault(w, []).append(k)
     types = sorted({w for s in sequences for w in s})
     number = {w: i for i, w in enumerate(types)}
-    ids, starts = gram_features(types, buckets)
-    ids = np.concatenate(ids)
+    features, starts = gram_features(types, buckets)
+    ids = np.concatenate(features)
     owner = np.tile(np.repeat(np.arange(len(types)), [len(w) + 2 for w in types]), 4)
     flat = np.array([number[w] for s in sequences for w in s])
     gold = np.array([y for s in labels for y in s])
     lengths = np.array([len(s) for s in sequences])
     model = Crf(languages, lexicon, np.zeros((buckets + 1, size)), np.zeros((size, size)), np.zeros((size, size)))
-    flags = model.lexicon_flags(types).astype(float)
-    observed = np.zeros((len(flat), size))
-    observed[np.arange(len(flat)), gold] = 1
+    flags = model.lexicon_flags(types)
     linked = np.ones(len(flat), bool)
     linked[np.cumsum(lengths) - lengths] = False
     before, after = np.flatnonzero(linked) - 1, np.flatnonzero(linked)
     seen_moves = np.zeros((size, size))
     np.add.at(seen_moves, (gold[before], gold[after]), 1)
+    # Sequences whose tables of words by languages are made at once, as spans of words.
+    upto = np.concatenate([[0], np.cumsum(lengths)])
+    groups = np.split(np.arange(len(lengths)), np.flatnonzero(np.diff(upto[1:] * size // _CELLS)) + 1)
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in (model.grams, model.lexical, model.transitions)]
     for step in range(1, rounds + 1):
-        gathered = model.grams[ids].reshape(4, -1, size).sum(axis=0)
-        scores = (np.add.reduceat(gathered, starts, axis=0) + flags @ model.lexical).astype(np.float32)
-        marginal, ahead = posteriors(scores[flat], model.transitions, lengths)
-        pair = ahead[before][:, :, None] * np.exp(model.transitions)
-        pair *= (marginal[after] / pair.sum(axis=1))[:, None, :]
-        expected_moves = pair.sum(axis=0)
+        scores = (gram_scores(model.grams, features, starts) + flags @ model.lexical).astype(np.float32)
+        moves, expected_moves = np.exp(model.transitions), np.zeros((size, size))
         by_type = np.zeros((len(types), size))
-        for k in range(size):
-            by_type[:, k] = np.bincount(flat, observed[:, k] - marginal[:, k], len(types))
+        for group in groups:
+            own = slice(upto[group[0]], upto[group[-1] + 1])
+            marginal, ahead = posteriors(scores[flat[own]], model.transitions, lengths[group])
+            second = np.flatnonzero(linked[own])
+            left = ahead[second - 1].astype(float)
+            expected_moves += moves * (left.T @ (marginal[second] / (left @ moves)))
+            for k in range(size):
+                by_type[:, k] += np.bincount(flat[own], (gold[own] == k) - marginal[:, k], len(types))
         grams = np.stack([np.bincount(ids, by_type[owner, k], buckets + 1) for k in range(size)], axis=1)
         gradients = (grams, flags.T @ by_type, seen_moves - expected_moves)
         for weights, gradient, (m, v) in zip((model.grams, model.lexical, model.transitions), gradients, moments):
@@ -218,15 +274,14 @@ def training_slices(
     sample however many documents there are.
     """
     known = docs.select("doc_id", "text", "lang").filter(usable & F.col("lang").isNotNull())
-    counts = known.groupBy("lang").count().limit(_MAX_LANGUAGES + 1).collect()
-    if len(counts) > _MAX_LANGUAGES:
-        raise ValueError(f"more than {_MAX_LANGUAGES} languages")
+    counts = known.groupBy("lang").count().collect()  # a row a language, like the model
     if not counts:
         return []
+    if len(counts) > _FULL_SAMPLES:
+        sample_docs = max(1, sample_docs * _FULL_SAMPLES // len(counts))
     top = 1 << 31
-    limit = F.lit(0)
-    for r in counts:
-        limit = F.when(F.col("lang") == r.lang, min(top, 4 * sample_docs * top // r["count"] + 1)).otherwise(limit)
+    limits = {r.lang: min(top, 4 * sample_docs * top // r["count"] + 1) for r in counts}
+    limit = F.from_json(F.lit(json.dumps(limits)), "map<string,bigint>")[F.col("lang")]
     words = F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(1))
     start = 1 + F.pmod("_draw", F.greatest(F.size("_words") - slice_words, F.lit(1)))
     rows = (
@@ -276,7 +331,7 @@ class Labeller:
         """Row of ``scores`` for each word; only distinct words reach Python."""
         coded = words.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if len(self.known) > _REMEMBERED:
+        if len(self.known) > _REMEMBERED * _FEW_LANGUAGES // max(_FEW_LANGUAGES, self.scores.shape[1]):
             self.known, self.scores = {}, self.scores[:0]
         fresh = [w for w in distinct if w not in self.known]
         if fresh:
@@ -302,12 +357,13 @@ class Labeller:
         return names, score.tolist()
 
 
-def _spans(texts: list[str | None]) -> Iterator[slice]:
-    """Runs of texts of bounded total length; a longer text stands alone."""
+def _spans(texts: list[str | None], languages: int = 1) -> Iterator[slice]:
+    """Runs of texts of bounded total length, less for many languages; a longer text stands alone."""
     start = total = 0
+    most = _CHARS_AT_ONCE * _FEW_LANGUAGES // max(_FEW_LANGUAGES, languages)
     for i, t in enumerate(texts):
         n = len(t or "")
-        if total and total + n > _CHARS_AT_ONCE:
+        if total and total + n > most:
             yield slice(start, i)
             start, total = i, 0
         total += n
@@ -325,7 +381,7 @@ def with_language(docs: DataFrame, model: Crf | None, pred: str = "lang_pred", s
         labeller = Labeller(shared.value)
         for batch in batches:
             texts, names, scores = batch.tolist(), [], []
-            for span in _spans(texts):
+            for span in _spans(texts, labeller.scores.shape[1]):
                 n, s = labeller.label(texts[span])
                 names += n
                 scores += s

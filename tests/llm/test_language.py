@@ -83,3 +83,39 @@ def test_odd_rows(spark, documents, odd_rows):
     assert crf.predict(documents([])).count() == 0
     unlabelled = crf.predict(documents([(9, "some words", None, None, None, None, None, None)])).collect()
     assert [(r.lang_pred, r.score) for r in unlabelled] == [("und", 0.0)]
+
+
+def test_steps_by_word_equal_steps_by_block(monkeypatch):
+    draw = np.random.default_rng(2)
+    lengths = np.array([7, 0, 200, 1, 64, 65])
+    scores, moves = draw.normal(size=(lengths.sum(), 5)), draw.normal(size=(5, 5))
+    blocks = crf.posteriors(scores, moves, lengths)
+    monkeypatch.setattr(crf, "_FEW_LANGUAGES", 1)
+    words = crf.posteriors(scores, moves, lengths)
+    assert np.allclose(blocks[0], words[0]) and np.allclose(blocks[1], words[1])
+    none = crf.posteriors(scores[:0], moves, np.array([0, 0]))
+    assert none[0].shape == none[1].shape == (0, 5)
+
+
+def test_training_in_groups_changes_nothing(monkeypatch):
+    draw = np.random.default_rng(3)
+    slices = [(lang, ["".join(draw.choice(list(own), 5)) for _ in range(30)]) for lang, own in [("x", "abcde"), ("y", "cdefg"), ("z", "fghij")] for _ in range(6)]
+    whole = crf.fit(slices, buckets=512, rounds=5)
+    monkeypatch.setattr(crf, "_CELLS", 200)
+    parts = crf.fit(slices, buckets=512, rounds=5)
+    for name in ("grams", "lexical", "transitions"):
+        assert np.allclose(getattr(whole, name), getattr(parts, name), atol=1e-3)
+
+
+def test_more_languages_than_bits_of_a_word(documents):
+    draw = np.random.default_rng(4)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    rows = []
+    for k in range(70):
+        vocabulary = ["".join(draw.choice(letters, 6)) for _ in range(12)]
+        for j in range(6):
+            text = " ".join(draw.choice(vocabulary, 40))
+            rows.append((len(rows), text, f"l{k}'\"", "s", len(text), "x", "y", "z"))
+    found = {r.doc_id: r for r in crf.predict(documents(rows)).collect()}
+    assert len(found) == len(rows)
+    assert sum(found[r[0]].lang_pred == r[2] for r in rows) > 0.9 * len(rows)
