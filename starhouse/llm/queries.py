@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starhouse.llm import (
+    conversation_repair,
     dart_minhash,
     edit_matching,
     language_crf,
@@ -75,6 +76,10 @@ def op10_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_cascade.judged(pages, url_cascade.RULES, url_cascade.listed_domains(pages))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.report(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 def jobs() -> dict[str, Job]:
     chosen = (
         op1_edit_matching,
@@ -87,6 +92,7 @@ def jobs() -> dict[str, Job]:
         op8_warc_chunks,
         op9_token_cache,
         op10_url_cascade,
+        op13_conversation_repair,
     )
     return {f.__name__: f for f in chosen}
 
@@ -96,4 +102,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_line_spread": line_spread.oracle(),
         "op8_warc_chunks": warc_chunks.oracle(),
         "op10_url_cascade": url_cascade.oracle(),
+        "op13_conversation_repair": conversation_repair.oracle(),
     }

@@ -21,14 +21,14 @@ SMALL = "/root/testdata/sf0.001"
 
 def connect(sf_dir):
     con = duckdb.connect()
-    for name in ("documents", "pages"):
+    for name in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
     return con
 
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(re.match(r"op(\d+)_", key)[1]) for key in queries.jobs())
-    assert numbers == list(range(1, 11))
+    assert numbers == sorted(set(numbers)) and set(range(1, 11)) <= set(numbers)
     assert set(queries.jobs()) | {"pipeline"} <= set(driver.queries())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "lines", "near_duplicates", "decontamination", "mix"]
 
