@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starhouse.scratch import scratch_path
 
 #: Keys beyond this share (one in so many) of all rows are few enough to broadcast.
-_LARGE_KEYS = 1000
+LARGE_KEYS = 1000
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -45,21 +45,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def joined_evenly(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, spread: Column) -> DataFrame:
-    """``rows`` left joined with ``groups``, which has a row a key, however many rows share a key.
+def joined_evenly(
+    rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str = "left", large_keys: int = LARGE_KEYS
+) -> DataFrame:
+    """``rows`` joined with ``groups``, which has a row a key, however many rows share a key.
 
-    ``size`` says how many rows a key of ``groups`` stands for. Keys that hold more than a
-    thousandth of those rows are at most a thousand, so they are broadcast; their rows are then
-    dealt by ``spread``, and the others meet the rest of ``groups`` in an ordinary join. Both
-    sides should be stored tables. Key columns must not be null; ``size`` is not returned.
+    ``size`` says how many rows a key of ``groups`` stands for. Keys with more than one in
+    ``large_keys`` of those rows are at most ``large_keys``, so they are broadcast and their
+    rows stay where they are; the others meet in an ordinary join. Both sides should be stored
+    tables. Key columns must not be null; ``size`` is not returned.
     """
     total = groups.agg(F.sum(size).alias("n")).first()["n"] or 0
-    kept = [c for c in groups.columns if c not in (*keys, size)]
-    packed = groups.select(*keys, size, F.struct(*kept).alias("_value"))
-    large = F.col(size) > total / _LARGE_KEYS
-    hot = packed.filter(large).select(*keys, F.col("_value").alias("_hot"))
-    rest = packed.filter(~large).select(*keys, F.lit(0).alias("_salt"), "_value")
-    salt = F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(spread), F.lit(1 << 20)).cast("int") + 1)
-    met = rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt).join(rest, [*keys, "_salt"], "left")
-    value = F.coalesce("_hot", "_value")
-    return met.select(*rows.columns, *[value[c].alias(c) for c in kept])
+    large = F.col(size) > total / large_keys
+    hot, rest = groups.filter(large).drop(size), groups.filter(~large).drop(size)
+    met = rows.join(F.broadcast(hot), keys)
+    others = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys, how)
+    return met.unionByName(others)

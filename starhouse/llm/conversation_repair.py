@@ -252,7 +252,7 @@ def edits(keyed: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     numbered = stored(with_global_index(narrow, [F.col("_conv"), *_text_order(), F.col("_tie")], "_n"), "conversation-rows")
     seen = numbered.groupBy("_conv", "role", "_digest").agg(F.count("*").alias("_size"), F.min("_n").alias("_first"))
     seen = stored(seen.filter("_size > 1"), "conversation-repeats")
-    rows = joined_evenly(numbered, seen, ["_conv", "role", "_digest"], "_size", F.col("_n"))
+    rows = joined_evenly(numbered, seen, ["_conv", "role", "_digest"], "_size")
     repeat = ~F.col("blank") & (F.coalesce("_first", F.col("_n")) < F.col("_n"))
     cut = ~F.col("blank") & ~repeat & F.col("cut")
     symbol = F.when(F.col("blank") | repeat, _GONE).when(cut, F.upper("symbol")).otherwise(F.col("symbol"))

@@ -15,6 +15,7 @@ from starhouse.llm import (
     one_permutation,
     pfair_mix,
     secret_links,
+    token_alignment,
     token_cache,
     url_cascade,
     warc_chunks,
@@ -76,6 +77,13 @@ def op10_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_cascade.judged(pages, url_cascade.RULES, url_cascade.listed_domains(pages))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.report(table(spark, sf_dir, "documents"), *files)
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.report(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
 
@@ -92,6 +100,7 @@ def jobs() -> dict[str, Job]:
         op8_warc_chunks,
         op9_token_cache,
         op10_url_cascade,
+        op11_token_alignment,
         op13_conversation_repair,
     )
     return {f.__name__: f for f in chosen}
