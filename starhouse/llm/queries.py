@@ -13,6 +13,7 @@ from starhouse.llm import (
     language_crf,
     line_spread,
     one_permutation,
+    personal_data,
     pfair_mix,
     secret_links,
     token_alignment,
@@ -84,6 +85,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.report(table(spark, sf_dir, "documents"), *files)
 
 
+def op12_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.report(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.report(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
 
@@ -101,6 +106,7 @@ def jobs() -> dict[str, Job]:
         op9_token_cache,
         op10_url_cascade,
         op11_token_alignment,
+        op12_candidate_boosting,
         op13_conversation_repair,
     )
     return {f.__name__: f for f in chosen}
