@@ -37,6 +37,16 @@ def document_key(text: Column) -> Column:
     return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), text)))
 
 
+def shielded(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with other names for columns that begin with an underscore, as the operators'
+    own columns do, and what gives a result the names back."""
+    prefix = "kept"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    names = {c: f"{prefix}{i}" for i, c in enumerate(docs.columns) if c.startswith("_")}
+    return docs.withColumnsRenamed(names), lambda out: out.withColumnsRenamed({v: k for k, v in names.items()})
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once a row, however often ``body`` names it.
 

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starhouse.llm.common import stored, text_or_empty
+from starhouse.llm.common import shielded, stored, text_or_empty
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -396,14 +396,16 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each class, that with the smallest id."""
+    """``docs`` with one row of each class, that with the smallest id (a null one only where all are)."""
+    docs, named = shielded(docs)
+    order = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "_node")
     keepers = (
         _members(docs)
         .groupBy("_class")
-        .agg(F.min(F.struct("doc_id", "_node")).alias("_first"))
+        .agg(F.min(order).alias("_first"))
         .select(F.col("_first._node").alias("_node"), F.col("_first.doc_id").alias("doc_id"))
         .select("_node", _id().alias("_id"))
     )
     keyed = docs.withColumn("_node", _node()).withColumn("_id", _id())
     kept = keyed.join(stored(keepers, "keepers"), ["_node", "_id"])
-    return kept.dropDuplicates(["_node", "_id"]).drop("_node", "_id")
+    return named(kept.dropDuplicates(["_node", "_id"]).drop("_node", "_id"))

@@ -26,6 +26,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starhouse.llm.common import shielded
+
 RATE = 0.07
 #: Characters of items in one broadcast block.
 BLOCK_CHARS = 4_000_000
@@ -176,4 +178,5 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataF
 
 def decontaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     """The rows of ``docs`` in which no item occurs."""
-    return with_matches(docs, items, rate, into="_matches").filter(F.size("_matches") == 0).drop("_matches")
+    docs, named = shielded(docs)
+    return named(with_matches(docs, items, rate, into="_matches").filter(F.size("_matches") == 0).drop("_matches"))

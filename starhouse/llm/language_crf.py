@@ -31,6 +31,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starhouse.llm.common import shielded
+
 UNKNOWN = "und"
 #: Words are runs of letters, in lower case.
 _WORD = r"(\p{L}+)"
@@ -372,7 +374,7 @@ def _spans(texts: list[str | None], languages: int = 1) -> Iterator[slice]:
 
 
 def with_language(docs: DataFrame, model: Crf | None, pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with its predicted language; every other column is kept."""
+    """``docs`` with its predicted language; every other column is kept, one of the two names replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: buckets x languages
     kind = f"struct<{pred}: string, {score}: double>"
 
@@ -387,7 +389,9 @@ def with_language(docs: DataFrame, model: Crf | None, pred: str = "lang_pred", s
                 scores += s
             yield pd.DataFrame({pred: names, score: scores})
 
-    return docs.withColumn("_label", labels("text")).select("*", f"_label.{pred}", f"_label.{score}").drop("_label")
+    docs, named = shielded(docs.drop(pred, score))
+    out = docs.withColumn("_label", labels("text")).select("*", f"_label.{pred}", f"_label.{score}").drop("_label")
+    return named(out)
 
 
 def predict(docs: DataFrame, sample_docs: int = 250, slice_words: int = 100) -> DataFrame:

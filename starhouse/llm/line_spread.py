@@ -5,13 +5,14 @@ before and after the shuffle, so a line that stands in a third of all documents
 per task by then. Estimates far from the threshold decide at once; lines near it get an
 exact distinct count of their sites. Each boilerplate line stays where it occurs first
 (smallest document, then smallest line number) and goes everywhere else, so no text is lost
-from the corpus as a whole. The number of sites is a parameter: ``MIN_SITES``, which the
-registered SQL states as well, or ``threshold``, which is lower for few or unequal sites.
+from the corpus as a whole. The number of sites is a parameter; without it ``threshold`` takes
+it from the corpus, lower where sites are few or unequal.
 
 Defined results: lines are compared without outer spaces and case-sensitively; blank lines
 are never boilerplate; null text is empty text, a null site is a site of its own; rows equal
 in id and text share one fate; a document whose lines all go stays with an empty text. Only
-the named columns are read; all of ``docs`` are returned by ``without_boilerplate``.
+the named columns are read; all of ``docs``, whatever their names, are returned by
+``without_boilerplate``.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starhouse.llm.common import document_key, let, stored, text_or_empty
+from starhouse.llm.common import document_key, let, shielded, stored, text_or_empty
 
 MIN_SITES = 10
 #: A line on fewer sites is never boilerplate, however few sites a corpus has.
@@ -58,8 +59,10 @@ def threshold(docs: DataFrame, site: str = "source") -> int:
     return max(LEAST_SITES, min(MIN_SITES, math.ceil(total * total / squares / 2))) if total else MIN_SITES
 
 
-def boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+def boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int | None = None) -> DataFrame:
     """Hashes of the lines that occur on ``min_sites`` sites or more, and where each is first."""
+    if min_sites is None:
+        min_sites = threshold(docs, site)
     lines = _lines(docs, text, site)
     spread = (
         lines.groupBy("_h1", "_h2")
@@ -84,12 +87,13 @@ def boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_s
 
 
 def without_boilerplate(
-    docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES
+    docs: DataFrame, text: str = "text", site: str = "source", min_sites: int | None = None
 ) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``; adds ``n_lines`` and ``n_removed``.
 
     A column of ``docs`` with one of these two names is replaced.
     """
+    docs, named = shielded(docs)
     here = F.struct("_id", "_doc", "_no")
     removed = (
         _lines(docs, text, site)
@@ -103,7 +107,7 @@ def without_boilerplate(
     places = F.sequence(F.lit(0), F.size(lines) - 1)
     staying = let(lines, lambda own: F.transform(F.array_except(places, F.col("_gone")), lambda i: F.get(own, i)))
     gone = F.coalesce(F.size("_gone"), F.lit(0)).cast("long")
-    return (
+    return named(
         keyed.join(removed, "_doc", "left")
         .withColumn("n_removed", F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(gone).cast("long"))
         .withColumn("n_lines", F.size(lines).cast("long"))
@@ -112,16 +116,20 @@ def without_boilerplate(
     )
 
 
-def oracle(min_sites: int = MIN_SITES) -> str:
+def oracle() -> str:
     return f"""
-WITH lines AS (
+WITH sized AS (
+    SELECT source, CAST(count(*) AS DOUBLE) AS n FROM documents GROUP BY source
+), needed AS (
+    SELECT greatest({LEAST_SITES}, least({MIN_SITES}, ceil(sum(n) * sum(n) / sum(n * n) / 2))) AS sites FROM sized
+), lines AS (
     SELECT doc_id, coalesce('=' || source, '-') AS site,
            unnest(string_split(coalesce(text, ''), chr(10))) AS line,
            unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS place
     FROM documents
 ), spread AS (
     SELECT trim(line) AS line, min({{'d': doc_id, 'p': place}}) AS earliest
-    FROM lines WHERE trim(line) <> '' GROUP BY 1 HAVING count(DISTINCT site) >= {min_sites}
+    FROM lines WHERE trim(line) <> '' GROUP BY 1 HAVING count(DISTINCT site) >= (SELECT sites FROM needed)
 ), marked AS (
     SELECT l.doc_id, l.place, l.line,
            coalesce(s.earliest <> {{'d': l.doc_id, 'p': l.place}}, false) AS gone

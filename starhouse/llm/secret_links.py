@@ -12,13 +12,15 @@ its own bin and the two beside it, which decides exactly whether a part lies wit
 scope. So a text full of parts makes three rows for each of them, never pairs.
 
 Places are code points, the end exclusive. Defined results: null is empty text; rows that
-agree in id and text get equal results each; a weak candidate that overlaps a strong span is
-not one. Only doc_id and text are read.
+agree in id and text get equal results each. Parts are complementary only as different pieces of
+the text: a string inside an address or an identifier's value belongs to it, and no part
+completes one that it overlaps. Only doc_id and text are read.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,6 +36,8 @@ SCOPE = 400
 KINDS = ("assign", "access", "hex", "id", "blob", "endpoint")
 STRONG = 3
 IDENTIFIER, SECRET, ENDPOINT = range(3)
+#: Weak kinds in the order in which they take text that several match: an address, a name, a string.
+_TAKES_FIRST = (5, 3, 4)
 _ROLE = {"assign": SECRET, "access": IDENTIFIER, "hex": SECRET, "id": IDENTIFIER, "blob": SECRET, "endpoint": ENDPOINT}
 
 # Fixed patterns of the strong kinds.
@@ -63,9 +67,9 @@ _HINTS = {
     "endpoint": r"://",
 }
 
-_SPAN = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
+_SPAN = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()), ("links", pa.bool_())])
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("_doc", pa.binary()), ("spans", pa.list_(_SPAN))])
-_DDL = "doc_id bigint, _doc binary, spans array<struct<start: bigint, kind: int, end: bigint>>"
+_DDL = "doc_id bigint, _doc binary, spans array<struct<start: bigint, kind: int, end: bigint, links: boolean>>"
 
 
 def _found(kind: str, text: str) -> Iterator[tuple[int, int]]:
@@ -78,24 +82,23 @@ def _found(kind: str, text: str) -> Iterator[tuple[int, int]]:
 
 
 def parts(text: str, kinds: tuple[str, ...] = KINDS) -> list[dict]:
-    """Strong spans, and weak ones that overlap none of them, by start and kind."""
+    """All strong spans and the weak ones that are parts of their own, by start and kind.
+
+    ``links`` marks those that may complete a credential. They never overlap: what lies in a
+    strong span belongs to it, then in an address, then in a named identifier.
+    """
     spans = [(s, k, e) for k, name in enumerate(KINDS) if name in kinds for s, e in _found(name, text)]
-    spans.sort()
-    out, strong_end, later = [], 0, []
-    for s, k, e in spans:
-        if k < STRONG:
-            out.append((s, k, e))
-    strong = list(out)
-    i = 0
-    for s, k, e in spans:
-        if k < STRONG:
-            continue
-        while i < len(strong) and strong[i][0] <= s:
-            strong_end = max(strong_end, strong[i][2])
-            i += 1
-        if strong_end <= s and not (i < len(strong) and strong[i][0] < e):
-            later.append((s, k, e))
-    return [{"start": s, "kind": k, "end": e} for s, k, e in sorted(out + later)]
+    taken: list[tuple[int, int]] = []  # disjoint, in order
+    out = []
+    for group in (KINDS[:STRONG], *((KINDS[k],) for k in _TAKES_FIRST)):
+        for s, k, e in sorted(x for x in spans if KINDS[x[1]] in group):
+            i = bisect_left(taken, (s, e))
+            free = (i == 0 or taken[i - 1][1] <= s) and (i == len(taken) or taken[i][0] >= e)
+            if free:
+                taken.insert(i, (s, e))
+            if free or k < STRONG:
+                out.append((s, k, e, free))
+    return [{"start": s, "kind": k, "end": e, "links": free} for s, k, e, free in sorted(out)]
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +116,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _linked(found: DataFrame, scope: int) -> DataFrame:
     """The weak parts that complementary ones accompany: _doc, linked (an array of spans)."""
     roles = F.array(*[F.lit(_ROLE[k]) for k in KINDS])
-    rows = found.select("_doc", F.explode("spans").alias("p")).select("_doc", "p.start", "p.kind", "p.end").distinct()
+    rows = found.select("_doc", F.explode(F.filter("spans", lambda p: p["links"])).alias("p"))
+    rows = rows.select("_doc", "p.start", "p.kind", "p.end").distinct()
     rows = rows.withColumn("role", F.get(roles, F.col("kind"))).withColumn("bin", F.expr(f"start div {scope}"))
     edges = []
     for role in range(3):
@@ -153,8 +157,9 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
         text_or_empty().alias("_text"),
     )
     found = stored(read.mapInArrow(_scan, _DDL), "secret-parts")
-    base = F.filter("spans", lambda p: p["kind"] < STRONG)
-    linked = F.coalesce(F.col("linked"), F.filter("spans", lambda p: F.lit(False)))
+    strong = F.filter("spans", lambda p: p["kind"] < STRONG)
+    base = F.transform(strong, lambda p: F.struct(p["start"].alias("start"), p["kind"].alias("kind"), p["end"].alias("end")))
+    linked = F.coalesce(F.col("linked"), F.slice(base, 1, 0))
     return (
         found.join(_linked(found, scope), "_doc", "left")
         .select("doc_id", base.alias("base"), F.sort_array(F.concat(base, linked)).alias("spans"))

@@ -13,8 +13,9 @@ their digest is carried from row to row, so a record of any size needs the memor
 piece.
 
 Defined results: null html is the empty payload; among equal payloads the smallest page_id
-is the response (a null one comes last), then the smallest url; rows that agree in page_id,
-url and payload are one record and give one row; line breaks in a url are written as %0D and
+is the response (a null one comes last), then the smallest url; of rows that agree in page_id,
+url and payload each is a record and gives a row, and one of them can be the response, which
+the others revisit; line breaks in a url are written as %0D and
 %0A. Only page_id, url and html are read.
 """
 
@@ -84,17 +85,25 @@ def _line(name: str, value: Column) -> Column:
 def records(pages: DataFrame) -> DataFrame:
     """One text a segment: header and block, without the two line ends that close a record."""
     rows = _keyed(pages)
-    narrow = rows.filter(F.octet_length("payload") >= MIN_REVISIT_BYTES).select("page_id", "url", "digest", "record_id")
-    narrow = stored(narrow, "warc-payloads")
+    # Repeated rows are equal, so one stands for all and is written as often as it was counted.
+    narrow = rows.withColumn("linked", F.octet_length("payload") >= MIN_REVISIT_BYTES).drop("payload")
+    counted = narrow.groupBy("record_id", "page_id", "url", "digest", "linked").agg(F.count("*").alias("times"))
+    counted = stored(counted, "warc-payloads")
     order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url", "record_id")
-    firsts = narrow.groupBy("digest").agg(F.min(order).alias("first"))
-    again = (
-        narrow.join(firsts, "digest")
-        .filter(F.col("record_id") != F.col("first.record_id"))
-        .select("record_id", F.col("first.record_id").alias("refers_to"))
-        .distinct()
+    firsts = counted.filter("linked").groupBy("digest").agg(F.min(order).alias("first"))
+    origin = F.col("first.record_id")
+    marks = counted.join(firsts, "digest", "left").select(
+        "record_id", "times", origin.alias("origin"), (origin != F.col("record_id")).alias("later")
     )
-    rows = rows.join(stored(again, "warc-revisits"), "record_id", "left")
+    marks = stored(marks.filter("times > 1 OR later"), "warc-marks")
+    rows = rows.join(marks, "record_id", "left").withColumn("times", F.coalesce("times", F.lit(1)))
+    again = rows.filter("times > 1").groupBy("record_id", "origin", "later", "times")
+    again = again.agg(*[F.first(c).alias(c) for c in ("page_id", "url", "payload", "digest")])
+    again = again.withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("times") - 1).cast("int"))))
+    rows = rows.filter("times = 1").withColumn("copy", F.lit(0)).unionByName(again)
+    rows = rows.withColumn("refers_to", F.when(F.col("later") | (F.col("copy") > 0), F.col("origin")))
+    copy_id = _urn(F.md5(F.concat_ws("\n", "record_id", F.lit("copy"), F.col("copy").cast("string"))))
+    rows = rows.withColumn("record_id", F.when(F.col("copy") == 0, F.col("record_id")).otherwise(copy_id))
 
     whole = F.col("payload")
     # Possessive: Java's greedy repetition would take a stack frame for each character.
@@ -338,12 +347,13 @@ def round_trip(pages: DataFrame) -> DataFrame:
 def oracle() -> str:
     return f"""
 WITH p AS (
-    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+    SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages
 ), f AS (
-    SELECT digest, min(page_id) AS first FROM p WHERE n >= {MIN_REVISIT_BYTES} GROUP BY digest
+    SELECT *, n >= {MIN_REVISIT_BYTES} AND row_number() OVER payload > 1 AS again, first_value(page_id) OVER payload AS first
+    FROM p WINDOW payload AS (PARTITION BY digest ORDER BY page_id NULLS LAST, url NULLS FIRST)
 )
-SELECT page_id, n AS payload_bytes, p.digest AS payload_digest,
-       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN first <> page_id THEN first END AS refers_to
-FROM p LEFT JOIN f ON p.digest = f.digest AND n >= {MIN_REVISIT_BYTES}
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first END AS refers_to
+FROM f
 """

@@ -6,6 +6,8 @@ import gzip
 import hashlib
 import re
 
+import duckdb
+import pandas as pd
 from pyspark.sql import functions as F
 
 from starhouse.llm import url_cascade as uc
@@ -37,16 +39,13 @@ ODD = [
 
 
 def expected(rows):
+    """A row a record: the first of equal payloads by page_id (null last) and url is the response."""
     out, first = [], {}
-    for page, url, html in rows:
+    for page, url, html in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or "")):
         payload = (html or "").encode()
-        if len(payload) >= 100:
-            key = (page is None, page or 0, url or "")
-            first[payload] = min(first.get(payload, key), key)
-    for page, url, html in sorted(set(rows), key=str):
-        payload = (html or "").encode()
-        own = len(payload) < 100 or first[payload] == (page is None, page or 0, url or "")
-        kind = ("response", None) if own else ("revisit", first[payload][1])
+        again = len(payload) >= 100 and payload in first
+        kind = ("revisit", first[payload]) if again else ("response", None)
+        first.setdefault(payload, page)
         out.append((page, len(payload), hashlib.sha256(payload).hexdigest(), *kind))
     return sorted(out, key=str)
 
@@ -58,6 +57,17 @@ def test_odd_pages_round_trip(spark):
     assert wc.round_trip(pages(spark, [])).count() == 0
 
 
+def test_repeated_rows_are_records_of_their_own(spark):
+    """Also against the registered SQL."""
+    rows = ODD * 3 + [(1, "http://a.net/x", "p" * 100)] * 50 + [(1, "http://0.net/", "p" * 100), (11, "u", "small")] * 2
+    frame = pages(spark, rows)
+    got = sorted((tuple(r) for r in wc.round_trip(frame).collect()), key=str)
+    assert len(got) == len(rows) and got == expected(rows)
+    con = duckdb.connect()
+    con.register("pages", pd.DataFrame(rows, columns=["page_id", "url", "html"]).astype({"page_id": "Int64"}))
+    assert sorted(con.execute(wc.oracle()).fetchall(), key=str) == got
+
+
 def test_payloads_survive(spark):
     path = scratch_path(spark, "test-warc")
     wc.write(pages(spark, ODD), path)

@@ -28,7 +28,7 @@ def connect(sf_dir):
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(re.match(r"op(\d+)_", key)[1]) for key in queries.jobs())
-    assert numbers == sorted(set(numbers)) and set(range(1, 11)) <= set(numbers)
+    assert numbers == sorted(set(numbers)) and set(range(1, 14)) == set(numbers)
     assert set(queries.jobs()) | {"pipeline"} <= set(driver.queries())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "lines", "near_duplicates", "decontamination", "mix"]
 
@@ -61,6 +61,7 @@ def check_stages(spark, docs, sf_dir, tmp_path):
     assert Counter(collected(after)) == Counter(kept)
 
     before, after = by_stage["lines"]
+    needed = line_spread.threshold(spark.createDataFrame(before, after.schema))
     first, sites = {}, {}
     for doc, text, _, site, _ in before:
         for i, line in enumerate((text or "").split("\n")):
@@ -73,7 +74,7 @@ def check_stages(spark, docs, sf_dir, tmp_path):
             line
             for i, line in enumerate((text or "").split("\n"))
             if not line.strip(" ")
-            or len(sites[line.strip(" ")]) < line_spread.MIN_SITES
+            or len(sites[line.strip(" ")]) < needed
             or first[line.strip(" ")] == (doc, i)
         ]
         want.append((doc, "\n".join(lines), lang, site, len("\n".join(lines))))

@@ -5,12 +5,23 @@ from __future__ import annotations
 import hashlib
 import re
 
+import duckdb
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starhouse.llm import line_spread, one_permutation, secret_links, token_cache
+from starhouse.llm import (
+    dart_minhash,
+    edit_matching,
+    language_crf,
+    line_spread,
+    one_permutation,
+    pfair_mix,
+    queries,
+    secret_links,
+    token_cache,
+)
 from starhouse.llm.common import table
 
 KEY = "password|passwd|secret|token|api_?key".split("|")
@@ -60,21 +71,45 @@ def test_base_spans_of_every_document(spark, sf_dir, documents):
 
 
 def linked_by_definition(text, scope):
-    parts = secret_links.parts(text)
-    role = [secret_links._ROLE[secret_links.KINDS[p["kind"]]] for p in parts]
-
-    def near(i, wanted):
-        return any(role[j] == wanted and abs(parts[j]["start"] - parts[i]["start"]) <= scope for j in range(len(parts)) if j != i)
-
-    out = []
-    for i, p in enumerate(parts):
-        kind = secret_links.KINDS[p["kind"]]
-        identifier, secret = near(i, secret_links.IDENTIFIER), near(i, secret_links.SECRET)
-        if p["kind"] < 3 or (kind == "id" and secret) or (kind == "blob" and identifier) or (
-            kind == "endpoint" and identifier and secret
-        ):
-            out.append((p["start"], p["kind"], p["end"]))
-    return sorted(out)
+    """All six kinds anew: spans, whose text is whose, and who has a complement within the scope."""
+    strong = base_spans(text)
+    names = r"(?i:access_?key_?id|client_?id|user_?name|user_?id|login|account)"
+    weak = {
+        3: [m.span() for m in re.finditer(names + r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{4,}""", text)],
+        4: [
+            m.span()
+            for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", text)
+            if re.search("[A-Z]", m[0]) and re.search("[a-z]", m[0]) and re.search("[0-9]", m[0])
+        ],
+        5: [m.span() for m in re.finditer(r"""(?:https?|jdbc:[A-Za-z0-9_]+|postgres|mysql|mongodb|redis|amqp)://[^\s"'<>]{4,}""", text)],
+    }
+    owner = [None] * len(text)
+    parts = []
+    for kind, start, end in [(k, s, e) for s, k, e in strong] + [(k, *span) for k in (5, 3, 4) for span in weak[k]]:
+        if not any(owner[start:end]):
+            owner[start:end] = [True] * (end - start)
+            parts.append((start, kind, end))
+    role = {0: "secret", 1: "name", 2: "secret", 3: "name", 4: "secret", 5: "place"}
+
+    def near(start, wanted):
+        return any(role[k] == wanted and abs(s - start) <= scope for s, k, _ in parts)
+
+    needs = {3: ["secret"], 4: ["name"], 5: ["name", "secret"]}
+    linked = [p for p in parts if p[1] >= 3 and all(near(p[0], w) for w in needs[p[1]])]
+    return sorted(strong + linked)
+
+
+def test_no_part_completes_itself(documents):
+    """A value inside an identifier, a piece of an address, a key inside an assignment."""
+    texts = [
+        "client_id: AbCdEf0123456789XyZw",
+        "login: john_smith then see https://Example.com/Page1/AbcDefGhijklmnop2",
+        "https://host.example/x secret=AKIA" + "Z" * 16,
+        "see https://a.example/?user_name=robert and aB3aB3aB3aB3aB3aB3aB3aB3",
+    ]
+    rows = [(i, t, "en", "s", 1, "x", "y", "z") for i, t in enumerate(texts)]
+    got = {r.doc_id: [(p.start, p.kind, p.end) for p in r.spans] for r in secret_links.find_secrets(documents(rows)).collect()}
+    assert got == {i: base_spans(t) for i, t in enumerate(texts)}
 
 
 def test_links_within_scopes(documents):
@@ -196,8 +231,45 @@ def test_lines_across_sites(documents):
 @pytest.mark.parametrize("sites", [9, 10, 11, 12, 60])
 def test_exact_at_the_threshold(documents, sites):
     rows = [(i, f"own {i}\nshared line", "en", f"s{i % sites}", 1, "x", "y", "z") for i in range(sites * 2)]
-    removed = line_spread.without_boilerplate(documents(rows)).agg(F.sum("n_removed")).first()[0]
-    assert removed == (sites * 2 - 1 if sites >= line_spread.MIN_SITES else 0)
+    removed = line_spread.without_boilerplate(documents(rows), min_sites=10).agg(F.sum("n_removed")).first()[0]
+    assert removed == (sites * 2 - 1 if sites >= 10 else 0)
+
+
+@pytest.mark.parametrize("site", [lambda i: f"s{i % 9}", lambda i: "hot" if i % 3 == 0 else f"s{i % 8}", lambda i: f"s{i % 60}"])
+def test_registered_query_takes_the_sites_from_the_corpus(spark, documents, tmp_path, site):
+    """Few sites, one with a third of the copies, and many; the SQL states the same rule."""
+    rows = [(i, f"own {i}\nshared line\n" + ("rare" if i < 2 else f"other {i}"), "en", site(i), 1, "x", "y", "z") for i in range(90)]
+    documents(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op7_line_spread(spark, str(tmp_path)).collect()
+    assert sum(r.n_removed for r in got) == 89
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(f"SELECT doc_id, n_lines, n_removed, text FROM ({line_spread.oracle()}) ORDER BY 1").fetchall()
+    assert sorted((r.doc_id, r.n_lines, r.n_removed, r.text) for r in got) == want
+
+
+def test_columns_with_the_operators_own_names_stay(spark, documents, prose):
+    """Every general interface returns the caller's columns, whatever they are called."""
+    names = ["_doc", "_gone", "_key", "_row", "_none", "_range", "_start", "_before", "_index", "_node", "_id", "_matches", "_label"]
+    docs = documents([(i, prose(30, i), "en", f"s{i % 3}", 1, "x", "y", "z") for i in range(6)]).drop("_doc")
+    docs = docs.select("*", *[F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names])
+    items = spark.createDataFrame([(1, "no such passage in any of these documents at all")], "item_id bigint, text string")
+    model = language_crf.train(docs)
+    for out in (
+        line_spread.without_boilerplate(docs),
+        pfair_mix.mixed(docs),
+        dart_minhash.deduplicated(docs),
+        edit_matching.decontaminated(docs, items),
+        language_crf.with_language(docs, model),
+    ):
+        rows = out.collect()
+        assert len(rows) == 6 and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
+
+
+def test_a_class_keeps_its_smallest_real_id(documents, prose):
+    text = prose(40, 1)
+    rows = [(i, text, "en", "s", 1, "x", "y", "z") for i in (None, 3, 8)]
+    assert [r.doc_id for r in dart_minhash.deduplicated(documents(rows)).collect()] == [3]
 
 
 def test_threshold_follows_the_sites(spark, documents):
