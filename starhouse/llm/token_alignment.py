@@ -7,9 +7,9 @@ last byte; one of A that ends together with one of B points to itself), and poin
 doubled, for all tokens of a block at once, until each points to the last token of its
 component, which labels the group.
 
-Where no piece of either tokenizer can hold a space behind another character, both cut before
-every single space, so texts are aligned word by word and a worker remembers the words it has
-seen (a bounded number); texts with other white space beside spaces are aligned whole.
+Where no piece of either tokenizer can hold a space behind a character that is not white, both cut
+before every space between two words, so texts are aligned word by word and a worker remembers the
+words it has seen (a bounded number); texts with other white space before spaces are aligned whole.
 
 A pair of ids is linked in a document where they share a group. Each document gives its
 distinct pairs with their number; the number of documents of a pair is one aggregation over
@@ -27,6 +27,7 @@ import hashlib
 import os
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from starhouse.llm.common import joined_evenly, stored, text_or_empty
 
 #: Bounds of what a worker remembers and handles at once.
-_REMEMBERED = 300_000
+_REMEMBERED = 400_000
 _CHARS_AT_ONCE = 2_000_000
 _SEGMENTS_AT_ONCE = 20_000
 _PAIRS_AT_ONCE = 4_000_000
@@ -52,6 +53,25 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: White space of any kind, as far as one of both tokenizers may know it.
+_WHITE = r"[\s\p{Z}\x0b\x1c-\x1f\x{85}]"
+
+
+def _spaces_follow_white(piece: bytes) -> bool:
+    """Whether no space of a piece stands behind a character that is not white."""
+    if not _decodes(piece):
+        return False
+    return not pc.match_substring_regex(pa.array([piece.decode()]), f"[^{_WHITE[1:]} ")[0].as_py()
+
+
+def _decodes(piece: bytes) -> bool:
+    try:
+        piece.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
 class Tokenizers:
     """Ids of a text by both sides and the bytes each id stands for."""
 
@@ -72,7 +92,7 @@ class Tokenizers:
         self.bytes_b = [
             bytes([int(x[3:5], 16)]) if self.b.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(pieces_b)
         ]
-        self.by_word = not any(b" " in x.lstrip(b" ") for x in (*self.bytes_a, *self.bytes_b))
+        self.by_word = all(_spaces_follow_white(x) for x in (*self.bytes_a, *self.bytes_b) if b" " in x[1:])
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         found = self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
@@ -141,22 +161,32 @@ class Aligner:
                 yield self._block(list(segments[start : i + 1]))
                 start, size = i + 1, 0
 
-    def _same_bytes(self, segments: list[str], *sides: list[list[int]]) -> np.ndarray:
-        """Whether both sides decode to a space and the segment."""
-        ok = np.ones(len(segments), bool)
-        for table, ids in zip((self.tokenizers.bytes_a, self.tokenizers.bytes_b), sides):
-            for i, (s, own) in enumerate(zip(segments, ids)):
-                ok[i] &= b"".join([table[x] for x in own]) == b" " + s.encode()
-        return ok
+    def _same_bytes(self, segments: list[bytes], side: int, ids: list[list[int]]) -> np.ndarray:
+        """Whether one side decodes to each segment."""
+        table = self.tokenizers.bytes_a if side == 0 else self.tokenizers.bytes_b
+        return np.array([b"".join([table[x] for x in own]) == s for s, own in zip(segments, ids)], bool)
+
+    def _flat(self, segments: list[bytes], side: int, ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray, bool]:
+        """All ids, their number in each segment, and whether every segment is decoded to itself."""
+        table = self.tokenizers.bytes_a if side == 0 else self.tokenizers.bytes_b
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum()))
+        upto = np.concatenate([[0], np.cumsum(self.lengths[side][flat])])
+        sizes = np.diff(upto[np.concatenate([[0], np.cumsum(n)])])
+        same = np.array_equal(sizes, np.fromiter(map(len, segments), np.int64, len(segments)))
+        return flat, n, same and b"".join(map(table.__getitem__, flat.tolist())) == b"".join(segments)
 
     def _block(self, segments: list[str]) -> Aligned:
         both = self.tokenizers.encode(segments)
-        ok = self._same_bytes(segments, *both)
-        ids, owner = [], []
-        for side in both:
-            n = np.fromiter((len(x) if good else 0 for x, good in zip(side, ok)), np.int64, len(side))
-            ids.append(np.fromiter((i for x, good in zip(side, ok) if good for i in x), np.int64, int(n.sum())))
-            owner.append(np.repeat(np.arange(len(side)), n))
+        content = [b" " + s.encode() for s in segments]
+        found = [self._flat(content, side, x) for side, x in enumerate(both)]
+        ok = np.ones(len(segments), bool)
+        if not all(same for _, _, same in found):
+            for side, x in enumerate(both):
+                ok &= self._same_bytes(content, side, x)
+            found = [self._flat([], side, [y if good else [] for y, good in zip(x, ok)]) for side, x in enumerate(both)]
+        ids = [flat for flat, _, _ in found]
+        owner = [np.repeat(np.arange(len(n)), n) for _, n, _ in found]
         a, b = ids
         a_end, b_end = (np.cumsum(length[x]) for length, x in zip(self.lengths, ids))
         ends = terminals(a_end, b_end) if len(a) else np.zeros(0, np.int64)
@@ -231,7 +261,7 @@ class Aligner:
                 np.concatenate([x.codes for x in p]),
                 np.concatenate([x.counts for x in p]),
             )
-            texts = pa.concat_arrays([x if isinstance(x, pa.Array) else pa.array(x, pa.large_binary()) for x in (y.texts for y in p)])
+            texts = pa.concat_arrays([x if isinstance(x, pa.Array) else pa.array(x, pa.binary()) for x in (y.texts for y in p)])
             whole.texts = texts
             self.parts = [whole]
             lists = [pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (whole.codes, whole.counts)]
@@ -267,7 +297,7 @@ def _rows(rows: list[int], doc_ids: list, sums: np.ndarray, texts: list, offsets
             yield pa.RecordBatch.from_arrays([*own, *lists], schema=_ROW)
 
 
-_ODD_SPACE = r"(^|\s) | $"
+_ODD_SPACE = rf"(^|{_WHITE}) | $"
 
 
 def _aligned_texts(aligner: Aligner, rows: list[int], doc_ids: list, texts: pa.Array) -> Iterator[pa.RecordBatch]:
@@ -275,18 +305,22 @@ def _aligned_texts(aligner: Aligner, rows: list[int], doc_ids: list, texts: pa.A
     if aligner.tokenizers.by_word:
         odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False)
         fine = np.flatnonzero(~odd)
+        whole[odd] = True
+    else:
+        fine = np.zeros(0, np.int64)
+        whole[:] = True
+    if len(fine):
         lists = pc.split_pattern(texts.take(pa.array(fine)), " ")
         words = lists.flatten().dictionary_encode()
         places = aligner.words(words)
         ok, sums, word_texts, codes, counts = aligner.stored()
         cut = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
-        good = np.add.reduceat(np.append(ok[places].astype(np.int64), 0), cut[:-1]) == np.diff(cut) if len(fine) else np.zeros(0, bool)
-        whole[odd] = True
+        good = np.add.reduceat(np.append(ok[places].astype(np.int64), 0), cut[:-1]) == np.diff(cut)
         whole[fine[~good]] = True
         upto = np.concatenate([np.zeros((4, 1), np.int64), np.cumsum(sums[:, places], axis=1)], axis=1)
         per = np.diff(upto[:, cut], axis=1)
         taken = pa.array(places)
-        joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(cut), word_texts.take(taken)), b";")
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(cut, pa.int32()), word_texts.take(taken)), b";")
         own_codes, own_counts = codes.take(taken), counts.take(taken)
         n_pairs = np.diff(own_codes.offsets.to_numpy())
         owner = np.repeat(np.repeat(np.arange(len(fine)), np.diff(cut)), n_pairs)
@@ -299,8 +333,6 @@ def _aligned_texts(aligner: Aligner, rows: list[int], doc_ids: list, texts: pa.A
                 [rows[i] for i in fine[start:end]], [doc_ids[i] for i in fine[start:end]], per[:, start:end],
                 joined[start:end].to_pylist(), offsets[start : end + 1] - s, keys[s:e], times[s:e],
             )
-    else:
-        whole[:] = True
     left = np.flatnonzero(whole)
     done = 0
     for block in aligner.align([texts[i].as_py() for i in left]):
