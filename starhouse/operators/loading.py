@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starhouse.functions.text import clean_text, is_number, is_year, to_number, to_year
@@ -62,19 +62,18 @@ def typed_staging(stg: DataFrame, spec: FactSpec) -> DataFrame:
 
 
 def parsed(
-    stg: DataFrame, spec: FactSpec, profile: Profile, with_bounds: bool = False
+    stg: DataFrame, spec: FactSpec, profile: Profile, with_bounds: bool = False, seen: Observation | None = None
 ) -> DataFrame:
     """Typed country-level rows whose year and value parse, optionally both bounds too.
 
     The tests are on text, before typing: Spark moves filters below projections
     and would otherwise repeat the typing inside them, up to generated code too
-    large for the JVM to compile.
+    large for the JVM to compile. ``seen`` counts the country-level rows (n_rows) as they pass.
     """
-    text = _clean_columns(stg, spec).filter(
-        (F.col("raw_spatial_dim_type") == profile.country_level)
-        & is_year(F.col("raw_year"))
-        & is_number(F.col("raw_numeric_value"))
-    )
+    text = _clean_columns(stg, spec).filter(F.col("raw_spatial_dim_type") == profile.country_level)
+    if seen is not None:
+        text = text.observe(seen, F.count("*").alias("n_rows"))
+    text = text.filter(is_year(F.col("raw_year")) & is_number(F.col("raw_numeric_value")))
     if with_bounds:
         text = text.filter(is_number(F.col("raw_low")) & is_number(F.col("raw_high")))
     # A number can be well-formed and still too large for the column.

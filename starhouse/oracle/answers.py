@@ -809,6 +809,13 @@ def _quality() -> dict[str, str]:
                        {_double(f'CASE WHEN {inverted} THEN low_ci ELSE high_ci END', 'high_ci')}
                 FROM health""",
         ),
+        "snk_change_set": with_tables(
+            "health",
+            f"""SELECT 'updated' AS change, {HEALTH_KEY},
+                       {_double('low_ci', 'old_low_ci')}, {_double('high_ci', 'old_high_ci')},
+                       {_double('high_ci', 'new_low_ci')}, {_double('low_ci', 'new_high_ci')}
+                FROM health WHERE {inverted}""",
+        ),
         "dq_repair_verify": with_tables(
             "health",
             f"""SELECT count(*) AS remaining_inverted

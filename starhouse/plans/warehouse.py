@@ -10,10 +10,11 @@ current.
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
-from functools import partial
+from collections.abc import Callable, Collection
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starhouse.operators.loading import build_country_dim, load_fact
@@ -32,7 +33,7 @@ from starhouse.schemas import (
 )
 from starhouse.scratch import scratch_path
 from starhouse.sinks.files import write_fact, write_table
-from starhouse.sinks.versions import published, version_path
+from starhouse.sinks.versions import Manifest, published, version_path
 from starhouse.sources.literal import static_dim
 
 Stage = Callable[[str], DataFrame]
@@ -133,7 +134,8 @@ class DerivedWarehouse(Warehouse):
 
 
 class PublishedWarehouse(Warehouse):
-    """The current version under ``root``; ``stage`` is only needed for staging reports."""
+    """The current version under ``root``, or the one of a manifest; ``stage`` is only needed for
+    staging reports."""
 
     def __init__(
         self,
@@ -141,19 +143,20 @@ class PublishedWarehouse(Warehouse):
         profile: Profile,
         root: str,
         stage: Stage | None = None,
-        version: str | None = None,
+        manifest: Manifest | None = None,
     ):
         super().__init__(spark, profile)
-        found = (version, {}) if version else published(spark, root)
+        found = manifest or published(spark, root)
         if found is None:
             raise LookupError(f"no published version under {root}")
         self.root = root
-        self.version, self.taken_over = found
+        self.manifest = found
+        self.version = found.version
         self._stage = stage
 
     def path(self, table: str) -> str:
-        """Where the version keeps a table: its own folder, or that of the version it is taken from."""
-        return f"{version_path(self.root, self.taken_over.get(table, self.version))}/{table}"
+        """Where the version keeps a small table: its own folder, or that of the version it is taken from."""
+        return f"{version_path(self.root, self.manifest.tables.get(table, self.version))}/{table}"
 
     def stg(self, table: str) -> DataFrame:
         if self._stage is None:
@@ -169,8 +172,37 @@ class PublishedWarehouse(Warehouse):
         schema = static_dim(self.spark, self.profile, name).schema
         return self._parquet(name, schema, self.path(name))
 
+    def stored_fact(self, spec: FactSpec, years: Collection[int] | None = None) -> DataFrame:
+        """The rows of a fact, or of some of its years, as its files hold them: ids count within a year."""
+        held = self.manifest.years(spec.name)
+        by_version: dict[str, list[int]] = {}
+        for year, part in sorted(held.items()):
+            if years is None or year in years:
+                by_version.setdefault(part.version, []).append(year)
+        frames = [self.spark.createDataFrame([], spec.schema)] if not by_version else []
+        for version, own in by_version.items():
+            base = f"{version_path(self.root, version)}/{spec.name}"
+            read = self.spark.read.schema(spec.schema).option("basePath", base)
+            frames.append(read.parquet(*[f"{base}/year_val={y}" for y in own]))
+        return reduce(DataFrame.unionByName, frames)
+
+    def year_starts(self, spec: FactSpec) -> dict[int, int]:
+        """The rows of a fact before each of its years."""
+        starts, total = {}, 0
+        for year, part in sorted(self.manifest.years(spec.name).items()):
+            starts[year] = total
+            total += part.n_rows
+        return starts
+
     def fact(self, spec: FactSpec) -> DataFrame:
-        return self._parquet(spec.name, spec.schema, self.path(spec.name))
+        def read() -> DataFrame:
+            rows = self.stored_fact(spec)
+            if not (starts := self.year_starts(spec)):
+                return rows
+            before = F.create_map(*[F.lit(x) for pair in starts.items() for x in pair])
+            return rows.withColumn("fact_id", F.col("fact_id") + before[F.col("year_val").cast("int")])
+
+        return self._frame(spec.name, read)
 
     def rejects(self) -> DataFrame:
         """Rows that the refresh refused: table_name, row_key, value, reason."""

@@ -20,7 +20,7 @@ from starhouse.operators.constraints import stacked
 from starhouse.plans import quality, staging_reports
 from starhouse.plans.catalog import PLANS
 from starhouse.plans.landing import COUNTRY_PULL, NCD_PULL, REGION_PULL, REGIONS_FILE, land_pages, write_pages
-from starhouse.plans.refresh import publish_repaired, refresh_core
+from starhouse.plans.refresh import changes, publish_repaired, refresh_core
 from starhouse.plans.views import publish_views
 from starhouse.plans.warehouse import DerivedWarehouse, PublishedWarehouse, Warehouse
 from starhouse.profile import RETAIL
@@ -28,6 +28,7 @@ from starhouse.schemas import (
     CSV_COLUMNS,
     CSV_FILES,
     FACTS,
+    HEALTH_FACT,
     STATIC_DIMS,
     STG_COMM,
     STG_COUNTRY,
@@ -247,15 +248,22 @@ def src_static_dims(wh: Warehouse) -> DataFrame:
     return stacked(frames)
 
 
-def _refreshed(wh: Warehouse) -> tuple[DataFrame, Warehouse]:
-    root = scratch_path(wh.spark, "refresh")
-    summary = refresh_core(wh.spark, wh.profile, wh.stg, root, verbose=True)
-    return summary, PublishedWarehouse(wh.spark, wh.profile, root)
+_publishing = threading.Lock()
+
+
+def _published(wh: Warehouse) -> PublishedWarehouse:
+    """The core of a warehouse, published once a session; later versions do not change what it reads."""
+    with _publishing:
+        if not hasattr(wh, "published"):
+            root = scratch_path(wh.spark, "published")
+            refresh_core(wh.spark, wh.profile, wh.stg, root)
+            wh.published = PublishedWarehouse(wh.spark, wh.profile, root)
+        return wh.published
 
 
 def snk_core_roundtrip(wh: Warehouse) -> DataFrame:
     """Write the core, read the published version back: rows and totals per table and year."""
-    _, published = _refreshed(wh)
+    published = _published(wh)
     frames = [
         published.fact(spec)
         .groupBy("year_val")
@@ -306,7 +314,7 @@ def snk_csv_roundtrip(wh: Warehouse) -> DataFrame:
 
 def snk_views_by_name(wh: Warehouse) -> DataFrame:
     """Rows of each published view, read by its name as a SQL user would."""
-    _, published = _refreshed(wh)
+    published = _published(wh)
     names = publish_views(published)
     return stacked(
         [wh.spark.table(name).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("view_name"), "n_rows") for name in names]
@@ -314,13 +322,23 @@ def snk_views_by_name(wh: Warehouse) -> DataFrame:
 
 
 def _repaired(wh: Warehouse) -> PublishedWarehouse:
-    root = scratch_path(wh.spark, "repaired")
-    refresh_core(wh.spark, wh.profile, wh.stg, root)
-    return publish_repaired(wh.spark, wh.profile, root)
+    """The next version of it, with inverted bounds swapped."""
+    published = _published(wh)
+    with _publishing:
+        if not hasattr(wh, "repaired"):
+            wh.repaired = publish_repaired(wh.spark, wh.profile, published.root)
+        return wh.repaired
+
+
+def snk_change_set(wh: Warehouse) -> DataFrame:
+    """Rows of the health fact that the repair changed, with their bounds in both versions."""
+    found = changes(_published(wh), _repaired(wh), HEALTH_FACT)
+    return found.select("change", *HEALTH_FACT.key, "old_low_ci", "old_high_ci", "new_low_ci", "new_high_ci")
 
 
 def refresh_summary(wh: Warehouse) -> DataFrame:
-    return _refreshed(wh)[0]
+    """A refresh of its own from nothing, and what it loaded."""
+    return refresh_core(wh.spark, wh.profile, wh.stg, scratch_path(wh.spark, "refresh"), verbose=True)
 
 
 # --- functions ---------------------------------------------------------------
@@ -410,6 +428,7 @@ def jobs() -> dict[str, Job]:
         **{name: _job(plan) for name, plan in PLANS.items()},
         # The repair is published, and checked on what readers then see.
         "dq_repair_inverted": _job(lambda wh: quality.published_bounds(_repaired(wh))),
+        "snk_change_set": _job(snk_change_set),
         "dq_repair_verify": _job(lambda wh: quality.remaining_inverted(_repaired(wh))),
         "fn_safe_pct": fn_safe_pct,
         "fn_smoke": fn_smoke,

@@ -100,6 +100,12 @@ class FactSpec:
     def columns(self) -> list[str]:
         return self.key + [self.measure, "low_ci", "high_ci"]
 
+    @property
+    def typed_schema(self) -> str:
+        """Columns of a typed staging row, before ids."""
+        types = {self.measure: self.number_type, "low_ci": self.number_type, "high_ci": self.number_type, "year_val": "SMALLINT"}
+        return ", ".join(f"{c} {types.get(c, 'STRING')}" for c in self.columns)
+
     @property
     def schema(self) -> str:
         sex = "sex_code STRING, " if self.has_sex else ""

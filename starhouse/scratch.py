@@ -30,6 +30,25 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
+def _file_system(spark: SparkSession, name: str):
+    """Spark has no public call to list or delete files; its file systems are reached through the JVM."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def delete(spark: SparkSession, name: str) -> None:
+    system, path = _file_system(spark, name)
+    system.delete(path, True)
+
+
+def folders(spark: SparkSession, name: str) -> list[str]:
+    """Names of the folders in a folder, in order; none where it does not exist."""
+    system, path = _file_system(spark, name)
+    if not system.exists(path):
+        return []
+    return sorted(f.getPath().getName() for f in system.listStatus(path) if f.isDirectory())
+
+
 _own = threading.local()
 
 
@@ -58,8 +77,6 @@ def released(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _own.paths.pop()
-        if (jvm := getattr(spark, "_jvm", None)) is not None:
-            conf = spark._jsc.hadoopConfiguration()
+        if getattr(spark, "_jvm", None) is not None:
             for name in made:
-                path = jvm.org.apache.hadoop.fs.Path(name)
-                path.getFileSystem(conf).delete(path, True)
+                delete(spark, name)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from datetime import timedelta
 from decimal import Decimal
 from pathlib import Path
 
@@ -11,12 +12,12 @@ from starhouse import HEALTH
 from starhouse.operators.loading import build_country_dim, keyed_update, match_ignoring_case, with_outcome
 from starhouse.operators.rules import split, strict
 from starhouse.plans import core
-from starhouse.plans.refresh import RefreshRejected, publish_repaired, refresh_core, staging_gate
+from starhouse.plans.refresh import RefreshRejected, changes, publish_repaired, refresh_core, staging_gate
 from starhouse.plans.views import VIEWS, publish_views
 from starhouse.plans.warehouse import DerivedWarehouse, PublishedWarehouse
-from starhouse.schemas import COMM_FACT, FACTS, HEALTH_FACT, NCD_FACT, STG_COUNTRY, STG_HEALTH, staging_schema
+from starhouse.schemas import COMM_FACT, FACTS, HEALTH_FACT, NCD_FACT, STG_COMM, STG_COUNTRY, STG_HEALTH, staging_schema
 from starhouse.scratch import shared_folder
-from starhouse.sinks.versions import new_version, publish, published_version
+from starhouse.sinks.versions import manifests, new_version, publish, published_version, remove_unreachable
 
 
 def test_country_dimension(wh):
@@ -214,6 +215,139 @@ def test_readers_see_repaired_bounds(spark, staged, tmp_path):
     assert again.comm.count() == before.comm.count() and again.rejects().count() == 3
 
 
+def _folders(root, version):
+    """Year folders of each fact that a version wrote itself."""
+    return {
+        spec.name: sorted(p.name for p in (root / f"version={version}" / spec.name).glob("year_val=*")) for spec in FACTS
+    }
+
+
+def _rows(warehouse, spec):
+    return sorted(map(repr, warehouse.fact(spec).drop("created_at").collect()))
+
+
+def test_a_refresh_writes_the_years_that_changed(spark, staged, tmp_path):
+    """One value of one year differs: that year's folder is written, and all reads as after a whole refresh."""
+    refresh_core(spark, HEALTH, staged, str(tmp_path / "core"))
+    first = PublishedWarehouse(spark, HEALTH, str(tmp_path / "core"))
+    refresh_core(spark, HEALTH, staged, str(tmp_path / "core"))
+    same = PublishedWarehouse(spark, HEALTH, str(tmp_path / "core"))
+    assert not any(_folders(tmp_path / "core", same.version).values())
+    assert all(_rows(first, spec) == _rows(same, spec) for spec in FACTS)
+
+    year = first.health.agg(F.min("year_val")).first()[0]
+    other = F.when(F.trim("raw_year") == str(year), "1.5").otherwise(F.col("raw_numeric_value"))
+    table = staged(STG_HEALTH).withColumn("raw_numeric_value", other)
+
+    def mended(name):
+        return table if name == STG_HEALTH else staged(name)
+
+    refresh_core(spark, HEALTH, mended, str(tmp_path / "core"))
+    refresh_core(spark, HEALTH, mended, str(tmp_path / "anew"), whole=True)
+    after, anew = (PublishedWarehouse(spark, HEALTH, str(tmp_path / x)) for x in ("core", "anew"))
+    assert _folders(tmp_path / "core", after.version) == {
+        HEALTH_FACT.name: [f"year_val={year}"], **{s.name: [] for s in FACTS if s is not HEALTH_FACT}
+    }
+    assert all(_rows(after, spec) == _rows(anew, spec) for spec in FACTS)
+    assert sorted(r.fact_id for r in after.health.collect()) == list(range(1, HEALTH_LOADED + 1))
+
+    # A year less and rows more elsewhere: ids move on, the folders of other years stay.
+    dropped = table.filter(F.trim("raw_year") != str(year))
+    refresh_core(spark, HEALTH, lambda t: dropped if t == STG_HEALTH else staged(t), str(tmp_path / "core"))
+    less = PublishedWarehouse(spark, HEALTH, str(tmp_path / "core"))
+    assert not any(_folders(tmp_path / "core", less.version).values())
+    assert year not in less.manifest.years(HEALTH_FACT.name)
+    assert sorted(r.fact_id for r in less.health.collect()) == list(range(1, less.health.count() + 1))
+
+
+def test_a_refresh_parses_staging_once(spark, staged, tmp_path):
+    """Each facts staging table is asked for once; its counts come with the write."""
+    asked = []
+
+    def stage(name):
+        asked.append(name)
+        return staged(name)
+
+    refresh_core(spark, HEALTH, stage, str(tmp_path / "core"))
+    assert sorted(asked) == sorted([STG_COUNTRY, *[spec.staging for spec in FACTS]])
+
+
+def test_a_repair_writes_the_years_it_touches(spark, staged, tmp_path):
+    root = str(tmp_path / "core")
+    refresh_core(spark, HEALTH, staged, root)
+    before = PublishedWarehouse(spark, HEALTH, root)
+    years = {r.year_val for r in before.health.filter("low_ci > high_ci").collect()}
+    after = publish_repaired(spark, HEALTH, root)
+    written = _folders(tmp_path / "core", after.version)
+    assert written.pop(HEALTH_FACT.name) == sorted(f"year_val={y}" for y in years) and not any(written.values())
+    assert 0 < len(years) < len(before.manifest.years(HEALTH_FACT.name))
+    assert sorted(r.fact_id for r in after.health.collect()) == sorted(r.fact_id for r in before.health.collect())
+    assert publish_repaired(spark, HEALTH, root).version == after.version
+    assert changes(before, after, NCD_FACT).count() == 0
+
+    # The digests are those of what lies there, so a refresh brings back what staging says.
+    refresh_core(spark, HEALTH, staged, root)
+    again = PublishedWarehouse(spark, HEALTH, root)
+    assert _rows(again, HEALTH_FACT) == _rows(before, HEALTH_FACT)
+    assert _folders(tmp_path / "core", again.version)[HEALTH_FACT.name] == sorted(f"year_val={y}" for y in years)
+
+
+def test_changes_between_versions(spark, staged, tmp_path):
+    """Inserted, deleted and updated rows, nulls compared as values."""
+    root = str(tmp_path / "core")
+    refresh_core(spark, HEALTH, staged, root)
+    before = PublishedWarehouse(spark, HEALTH, root)
+    keys = [tuple(r) for r in before.comm.orderBy(*COMM_FACT.key).select(*COMM_FACT.key).collect()]
+    disease, country, year = keys[0]
+    mine = (F.trim("raw_indicator_code") == disease) & (F.trim("raw_country_code") == country) & (F.trim("raw_year") == str(year))
+    rows = staged(STG_COMM)
+    moved = rows.filter(mine).withColumn("raw_year", F.lit("1950"))
+    other = rows.filter(mine).withColumn("raw_low", F.lit(None).cast("string")).withColumn("raw_numeric_value", F.lit("77"))
+    for table, want in (
+        (rows.filter(~mine), [("deleted", year)]),
+        (rows.filter(~mine).unionByName(moved), [("deleted", year), ("inserted", 1950)]),
+        (rows.filter(~mine).unionByName(other), [("updated", year)]),
+        (rows, []),
+    ):
+        refresh_core(spark, HEALTH, lambda t, own=table: own if t == STG_COMM else staged(t), root)
+        after = PublishedWarehouse(spark, HEALTH, root)
+        found = changes(before, after, COMM_FACT).collect()
+        assert sorted((r.change, r.year_val) for r in found) == want
+        assert all(r.new_death_count == 77 and r.new_low_ci is None for r in found if r.change == "updated")
+
+
+def test_retention(spark, staged, tmp_path):
+    """Three versions, one of which lends folders, and what a failed refresh left."""
+    root, core = str(tmp_path / "core"), tmp_path / "core"
+    refresh_core(spark, HEALTH, staged, root)
+    first = PublishedWarehouse(spark, HEALTH, root)
+    second = publish_repaired(spark, HEALTH, root)
+    refresh_core(spark, HEALTH, staged, root, whole=True)
+    third = PublishedWarehouse(spark, HEALTH, root)
+    doubled = staged(STG_HEALTH).unionByName(staged(STG_HEALTH).filter("raw_country_code = 'BBB'"))
+    with pytest.raises(RefreshRejected):
+        refresh_core(spark, HEALTH, lambda t: doubled if t == STG_HEALTH else staged(t), root)
+    assert len(list(core.glob("version=*"))) == 4
+
+    assert remove_unreachable(spark, root, keep=2) == []
+    want = _rows(second, HEALTH_FACT)
+    gone = remove_unreachable(spark, root, keep=2, older_than=timedelta(0))
+    left = {p.name for p in core.glob("version=*")}
+    assert left == {f"version={w.version}" for w in (first, second, third)} and len(gone) > 1
+    # The first version keeps only what the second reads: the years that were not repaired, and dimensions.
+    repaired = {p.year for p in second.manifest.parts if p.version == second.version}
+    assert not any(f"year_val={y}" in _folders(core, first.version)[HEALTH_FACT.name] for y in repaired)
+    manifest = next(m for m in manifests(spark, root) if m.version == second.version)
+    reopened = PublishedWarehouse(spark, HEALTH, root, manifest=manifest)
+    assert _rows(reopened, HEALTH_FACT) == want and reopened.country().count() == 5 and reopened.rejects().count() == 3
+
+    remove_unreachable(spark, root, keep=1, older_than=timedelta(0))
+    assert {p.name for p in core.glob("version=*")} == {f"version={third.version}"}
+    assert _rows(PublishedWarehouse(spark, HEALTH, root), HEALTH_FACT) == _rows(third, HEALTH_FACT)
+    with pytest.raises(ValueError):
+        remove_unreachable(spark, root, keep=0)
+
+
 def test_repeated_countries_are_told_apart(spark, wh, staged):
     twice = staged(STG_COUNTRY).unionByName(staged(STG_COUNTRY).filter("raw_country_code = 'AAA'"))
     doubled = DerivedWarehouse(spark, HEALTH, lambda t: twice if t == STG_COUNTRY else staged(t))
