@@ -8,8 +8,10 @@ for all keys of the universe: the first filter that does not hold it decides. Th
 a few bits for each listed key and is read as a scalar, so the table of pages is filtered in
 its scan, without a join or a shuffle.
 
-Filters are arrays of 64-bit words made by an aggregation. Their total size is checked:
-beyond ``MAX_WORDS`` the listed keys are joined instead. Everything is Spark expressions.
+Filters are arrays of 64-bit words made by an aggregation. Keys whose filters would be larger than
+``MAX_WORDS`` are dealt by hash into shards that are not: each has a cascade of its own and the
+pages are passed once a shard, so a task holds one shard's filters however long the list is.
+Everything is Spark expressions.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, no rule, and
 is allowed; repeated rows are judged alike; an empty list blocks nothing. Only page_id and
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from starhouse.llm.common import let, stored
 
-#: Bound of all levels together: 8 MB of filter.
+#: Bound of all levels of a shard together: about 8 MB of filter.
 MAX_WORDS = 1_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -102,21 +104,24 @@ def _level(keys: DataFrame, n_keys: int, bits: float, number: int) -> Level:
     return level
 
 
-def cascade(universe: DataFrame, listed: DataFrame) -> list[Level] | None:
-    """Levels that decide, for every key of ``universe``, whether it is in ``listed`` (both: key).
+def _first_bits(n_in: int, n_out: int) -> float:
+    """Bits a listed key in the first filter: as many keys are let through as are listed, or fewer."""
+    return max(2.0, math.log2(max(2.0, n_out / n_in)) / math.log(2))
 
-    None where the filters would be larger than the bound.
-    """
+
+def _shards(n_in: int, n_out: int) -> int:
+    """Shards that keep the filters of each within the bound; later levels take about six bits a key."""
+    return max(1, math.ceil(n_in * (_first_bits(n_in, n_out) + 6) / 64 / MAX_WORDS)) if n_in else 1
+
+
+def cascade(universe: DataFrame, listed: DataFrame) -> list[Level]:
+    """Levels that decide, for every key of ``universe``, whether it is in ``listed`` (both: key)."""
     inside = stored(universe.join(listed, "key", "left_semi"), "listed")
     outside = stored(universe.join(listed, "key", "left_anti"), "unlisted")
     n_in, n_out = inside.count(), outside.count()
     levels: list[Level] = []
-    words = 0
     while n_in:
-        bits = max(2.0, math.log2(max(2.0, n_out / n_in)) / math.log(2)) if not levels else 2.0
-        words += math.ceil(n_in * bits / 64)
-        if words > MAX_WORDS:
-            return None
+        bits = _first_bits(n_in, n_out) if not levels else 2.0
         levels.append(_level(inside, n_in, bits, len(levels)))
         level = levels[-1]
         mistaken = stored(outside.filter(level.holds(F.col("key"), level.words.scalar())), "bloom-mistaken")
@@ -136,17 +141,28 @@ def member(levels: Sequence[Level], key: Column, words: Sequence[Column]) -> Col
 def with_listed(pages: DataFrame, keys: Column, listed: DataFrame, into: str = "listed") -> DataFrame:
     """``pages`` with whether any of a row's keys (an array column) is in ``listed`` (key)."""
     universe = stored(pages.select(F.explode(keys).alias("key")).distinct(), "key-universe")
-    levels = cascade(universe, listed)
-    if levels is None:
-        rows = pages.withColumn("_keys", keys).withColumn("_row", F.monotonically_increasing_id())
-        rows = stored(rows, "url-rows")
-        hits = rows.select("_row", F.explode("_keys").alias("key")).join(listed, "key", "left_semi").select("_row").distinct()
-        return rows.join(hits.withColumn(into, F.lit(True)), "_row", "left").fillna(False, [into]).drop("_row", "_keys")
-    for k, level in enumerate(levels):
-        pages = pages.withColumn(f"_level{k}", level.words.scalar())
-    words = [F.col(f"_level{k}") for k in range(len(levels))]
-    hit = F.exists(keys, lambda key: member(levels, key, words)) if levels else F.lit(False)
-    return pages.withColumn(into, hit).drop(*[f"_level{k}" for k in range(len(levels))])
+    listed = stored(listed.select("key").distinct(), "key-list")
+    n_in = universe.join(listed, "key", "left_semi").count()
+    shards = _shards(n_in, universe.count() - n_in)
+    # ``keys`` may be an expression over a column of this name, so the answer has its own until the end.
+    pages = pages.withColumn("_listed", F.lit(False))
+    for shard in range(shards):
+
+        def mine(key: Column, shard: int = shard) -> Column:
+            return F.pmod(F.xxhash64(key, F.lit("shard")), F.lit(shards)) == shard
+
+        levels = cascade(universe.filter(mine(F.col("key"))), listed.filter(mine(F.col("key"))))
+        if not levels:
+            continue
+        names = [f"_level{k}" for k in range(len(levels))]
+        for name, level in zip(names, levels):
+            pages = pages.withColumn(name, level.words.scalar())
+        words = [F.col(name) for name in names]
+        hit = F.exists(keys, lambda key: mine(key) & member(levels, key, words) if shards > 1 else member(levels, key, words))
+        pages = pages.withColumn("_listed", F.col("_listed") | hit).drop(*names)
+        if shards > 1:
+            pages = stored(pages, "url-shard")
+    return pages.drop(into).withColumnRenamed("_listed", into)
 
 
 def judged(pages: DataFrame, rules: Sequence[Rule], listed: DataFrame) -> DataFrame:

@@ -151,9 +151,28 @@ def test_odd_urls(spark):
     assert uc.judged(none, uc.RULES, uc.listed_domains(none)).count() == 0
 
 
-def test_larger_filters_are_joined(spark, monkeypatch):
-    rows = pages(spark, [(i, u, None) for i, u in enumerate(URLS)] + [(0, URLS[0], None)])
-    monkeypatch.setattr(uc, "MAX_WORDS", 0)
-    out = uc.judged(rows, uc.RULES, uc.listed_domains(rows)).collect()
+def test_larger_lists_are_dealt_into_shards(spark, monkeypatch):
+    """Exact on the whole universe, whatever the number of shards; each shard's filters are within the bound."""
+    rows = spark.range(3000).select("id", F.array(F.concat(F.lit("a"), "id"), F.concat(F.lit("b"), F.col("id") % 7)).alias("keys"), F.lit("x").alias("listed"))
+    listed = spark.range(4000).select(F.concat(F.lit("a"), "id").alias("key")).filter(F.crc32("key") % 3 == 0)
+    want = {r.key for r in listed.collect()}
+    made = []
+    plain = uc.cascade
+
+    def seen(universe, own):
+        levels = plain(universe, own)
+        made.append(sum(level.n_words for level in levels))
+        return levels
+
+    monkeypatch.setattr(uc, "cascade", seen)
+    for bound, shards in ((1_000_000, 1), (50, 3)):
+        monkeypatch.setattr(uc, "MAX_WORDS", bound)
+        made.clear()
+        got = uc.with_listed(rows, F.col("keys"), listed).collect()
+        assert len(got) == 3000 and {r.id for r in got if r.listed} == {r.id for r in got if f"a{r.id}" in want}
+        assert len(made) >= shards and all(n <= bound * 1.5 for n in made)
+    pages_ = pages(spark, [(i, u, None) for i, u in enumerate(URLS)] + [(0, URLS[0], None)])
+    monkeypatch.setattr(uc, "MAX_WORDS", 0.05)
+    out = uc.judged(pages_, uc.RULES, uc.listed_domains(pages_)).collect()
     assert len(out) == len(URLS) + 1
     assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in out} == {i: judge(u) for i, u in enumerate(URLS)}
