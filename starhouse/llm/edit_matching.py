@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from starhouse.llm.common import shielded
 
-RATE = 0.07
+RATE = 0.1
 #: Characters of items in one broadcast block.
 BLOCK_CHARS = 4_000_000
 _MATCH = "array<struct<item_id: bigint, distance: bigint, start: bigint, end: bigint>>"
