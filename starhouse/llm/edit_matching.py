@@ -3,7 +3,9 @@
 An item that occurs in a document with at most e edits has, cut into e + 1 pieces, a piece
 that occurs unchanged. So every document is searched once for all pieces (a multi-pattern
 automaton), each hit names the stretch where the item would lie, and Myers' bit-parallel
-algorithm gives the edit distance there. Nothing is shuffled: items go to the tasks in
+algorithm gives the edit distance there. The same argument holds for any run of n pieces, of
+which one half or the other keeps within its own budget of one error less than its pieces: so a
+hit is verified on growing runs around it, and one by chance ends after a few letters. Nothing is shuffled: items go to the tasks in
 blocks of bounded size, and each block is one more search in the same pass.
 
 Texts are compared in lower case with runs of anything but letters and digits as one space.
@@ -57,10 +59,52 @@ class Pattern:
 
     def pieces(self) -> Iterator[tuple[str, int]]:
         n = self.budget + 1
-        cuts = [len(self.text) * i // n for i in range(n + 1)]
-        for start, end in zip(cuts, cuts[1:]):
+        self.cuts = [len(self.text) * i // n for i in range(n + 1)]
+        self.above: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+        runs = [(0, n)]
+        while runs:
+            low, high = runs.pop()
+            if high - low > 1:
+                middle = (low + high) // 2
+                runs += [(low, middle), (middle, high)]
+                if high - low < n:
+                    for j in range(low, high):
+                        self.above[j].append((low, high))
+        for own in self.above:
+            own.sort(key=lambda r: r[1] - r[0])
+        for start, end in zip(self.cuts, self.cuts[1:]):
             yield self.text[start:end], start
 
+    def survives(self, piece: int, text: str, start: int) -> bool:
+        """Whether every run of pieces around one that was hit lies there within its budget."""
+        for low, high in self.above[piece]:
+            first, end, errors = self.cuts[low], self.cuts[high], high - low - 1
+            if not self.within(first, end, errors, text[max(0, start + first - errors) : max(0, start + end + errors)]):
+                return False
+        return True
+
+    def within(self, first: int, end: int, errors: int, window: str) -> bool:
+        """Whether a stretch of the window is within so many errors of a part of the item."""
+        size = end - first
+        full, top, get = (1 << size) - 1, 1 << (size - 1), self.places.get
+        pv, mv, score = full, 0, size
+        for c in window:
+            eq = (get(c, 0) >> first) & full
+            xv = eq | mv
+            xh = (((eq & pv) + pv) ^ pv) | eq
+            ph = mv | (full & ~(xh | pv))
+            mh = pv & xh
+            if ph & top:
+                score += 1
+            elif mh & top:
+                score -= 1
+                if score <= errors:
+                    return True
+            ph <<= 1
+            pv = ((mh << 1) | ~(xv | ph)) & full
+            mv = ph & xv & full
+        return False
+
     def best(self, window: str) -> tuple[int, int]:
         """Least distance of the item to any stretch of the window, and where the first such ends."""
         pv, mv, score = self.full, 0, len(self.text)
@@ -86,10 +130,10 @@ class Pattern:
 class Matcher:
     def __init__(self, items: list[tuple[int, str]], rate: float):
         self.patterns = [Pattern(i, t, rate) for i, t in items]
-        found: dict[str, list[tuple[int, int]]] = {}
+        found: dict[str, list[tuple[int, int, int]]] = {}
         for k, p in enumerate(self.patterns):
-            for piece, offset in p.pieces():
-                found.setdefault(piece, []).append((k, offset))
+            for j, (piece, offset) in enumerate(p.pieces()):
+                found.setdefault(piece, []).append((k, offset, j))
         self.automaton = ahocorasick.Automaton()
         for piece, uses in found.items():
             self.automaton.add_word(piece, (len(piece), uses))
@@ -99,25 +143,25 @@ class Matcher:
     def matches(self, text: str) -> list[dict]:
         if not self.patterns:
             return []
-        where: dict[int, list[int]] = {}
+        where: dict[int, list[tuple[int, int]]] = {}
         for end, (length, uses) in self.automaton.iter(text):
-            for k, offset in uses:
-                where.setdefault(k, []).append(end - length + 1 - offset)
+            for k, offset, j in uses:
+                where.setdefault(k, []).append((end - length + 1 - offset, j))
         out = []
-        for k, starts in where.items():
-            if (m := self.verified(self.patterns[k], text, starts)) is not None:
+        for k, hits in where.items():
+            if (m := self.verified(self.patterns[k], text, hits)) is not None:
                 out.append(m)
         return out
 
     @staticmethod
-    def verified(p: Pattern, text: str, starts: list[int]) -> dict | None:
-        """The best stretch near any of the places where the item may start."""
+    def verified(p: Pattern, text: str, hits: list[tuple[int, int]]) -> dict | None:
+        """The best stretch near any of the places where the item may start, given with the piece hit."""
         size, slack = len(p.text), p.budget
         least, span = slack + 1, (0, 0)
-        starts = sorted(set(starts))
-        for s in starts:
+        for s in sorted({s for s, _ in hits}):
             if s >= 0 and text.startswith(p.text, s):
                 return {"item_id": p.item_id, "distance": 0, "start": s, "end": s + size}
+        starts = sorted({s for s, j in hits if p.survives(j, text, s)})
         i = 0
         while i < len(starts) and slack:
             low = high = starts[i]

@@ -188,3 +188,29 @@ def test_longer_schedules_than_one_period_table(monkeypatch, documents):
     monkeypatch.setattr(pf, "MAX_SOURCES", 3)
     again = pf.mixed(documents(rows), lambda counts: parts, block_rows=2).collect()
     assert Counter(map(tuple, again)) == Counter(map(tuple, out))
+
+
+def test_a_replaced_word_of_a_short_item_is_found(spark, documents):
+    """An item of 85 characters with one word of seven letters replaced; and growing runs miss nothing."""
+    item = "harvest moons rise over quiet hills while distant rivers carry silver leaves to seas "
+    assert len(item.strip()) in (84, 85)
+    text = "before it " + item.replace("distant", "bzzqkww") + "after it"
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    (row,) = em.contaminated(documents([(1, text, "en", "s", 1, "x", "y", "z")]), items).collect()
+    assert row.doc_id == 1 and "7" in str(row)
+
+    draw = random.Random(4)
+    p = em.Matcher([(1, em.normal([item])[0])], 0.1)
+    plain = p.patterns[0]
+    found = 0
+    for _ in range(400):
+        noisy = list(plain.text)
+        for _ in range(draw.randint(0, 11)):
+            i = draw.randrange(len(noisy))
+            noisy[i : i + draw.randint(0, 1)] = draw.choice(["", "q", "e", " "])
+        around = "xx " + "".join(noisy) + " yy"
+        least, _ = plain.best(around)
+        got = p.matches(around)
+        assert (least <= plain.budget) == bool(got) and all(m["distance"] == least for m in got)
+        found += bool(got)
+    assert 50 < found < 400
