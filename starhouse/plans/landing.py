@@ -11,10 +11,14 @@ from starhouse.sinks.files import write_csv
 from starhouse.sources.csv_text import read_text_csv
 from starhouse.sources.json_pages import (
     COMM_RECORD,
+    CORRUPT,
     COUNTRY_RECORD,
     HEALTH_RECORD,
     NCD_RECORD,
     REGION_RECORD,
+    damaged,
+    flatten_pages,
+    page_schema,
     read_pages,
     union_pulls,
 )
@@ -75,3 +79,45 @@ def write_pages(df: DataFrame, fields: dict[str, str], path: str, page_size: int
 def landed_stage(spark: SparkSession, landed: str):
     """Staging tables by name, read from the CSV files in ``landed``."""
     return lambda table: read_text_csv(spark, f"{landed.rstrip('/')}/{CSV_FILES[table]}", table)
+
+
+def landed_batch(pages: DataFrame, batch: int, fields: dict[str, str], constants: dict[str, str], table: str) -> None:
+    """Write one batch of pages: records under ``<table>/records``, damaged pages under ``<table>/quarantine``.
+
+    A batch has a folder of its own, which a repeated attempt writes again.
+    """
+    pages.filter(~damaged()).transform(flatten_pages, fields, constants).write.mode("overwrite").parquet(
+        f"{table}/records/batch={batch}"
+    )
+    pages.filter(damaged()).select("source_file", F.coalesce(CORRUPT, F.lit("")).alias("record")).write.mode("overwrite").parquet(
+        f"{table}/quarantine/batch={batch}"
+    )
+
+
+def land_arriving(
+    spark: SparkSession,
+    pages: str,
+    fields: dict[str, str],
+    table: str,
+    constants: dict[str, str] | None = None,
+    one_page_per_file: bool = True,
+) -> None:
+    """Land the pages of one pull that have arrived since the last call, each exactly once.
+
+    A file stream keeps in ``<table>/progress`` which files are done; all that are new are taken
+    in one go. To run without end, call it from a scheduler, or start a query of the same parts.
+    """
+    stream = spark.readStream.schema(page_schema(fields)).option("multiLine", one_page_per_file)
+    arriving = stream.option("columnNameOfCorruptRecord", CORRUPT).json(pages).select("*", F.col("_metadata.file_name").alias("source_file"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        landed_batch(batch, number, fields, constants or {}, table)
+
+    query = arriving.writeStream.foreachBatch(write).option("checkpointLocation", f"{table}/progress").trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def arrived(spark: SparkSession, fields: dict[str, str], table: str, constants: dict[str, str] | None = None) -> DataFrame:
+    """All records landed so far, with the columns that the batch readers give."""
+    columns = [*fields, *(constants or {})]
+    return spark.read.schema(", ".join(f"{c} STRING" for c in columns)).parquet(f"{table}/records").select(*columns)

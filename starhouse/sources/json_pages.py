@@ -72,7 +72,7 @@ def _pages(spark: SparkSession, path: str | list[str], fields: dict[str, str], o
     return reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
-def _damaged() -> Column:
+def damaged() -> Column:
     """A page that does not parse, or that has no list of records."""
     return F.col(CORRUPT).isNotNull() | F.col("value").isNull()
 
@@ -92,13 +92,13 @@ def read_pages(
     """
     pages = _pages(spark, path, fields, one_page_per_file)
     if accept_rejects:
-        pages = pages.filter(~_damaged())
+        pages = pages.filter(~damaged())
     else:
         text = F.coalesce(F.substring(CORRUPT, 1, 200), F.lit("no list of records"))
         message = F.concat(F.lit("damaged page: "), text)
         # In the column itself: Spark tests a list before it unrolls it, ahead of other filters.
         kind = pages.schema["value"].dataType
-        pages = pages.withColumn("value", F.when(_damaged(), F.raise_error(message).cast(kind)).otherwise(F.col("value")))
+        pages = pages.withColumn("value", F.when(damaged(), F.raise_error(message).cast(kind)).otherwise(F.col("value")))
     return flatten_pages(pages, fields, constants)
 
 
@@ -107,7 +107,7 @@ def page_rejects(
 ) -> DataFrame:
     """Damaged pages: source_file, record (the text where there is one)."""
     pages = _pages(spark, path, fields, one_page_per_file)
-    return pages.select("*", F.col("_metadata.file_name").alias("source_file")).filter(_damaged()).select(
+    return pages.select("*", F.col("_metadata.file_name").alias("source_file")).filter(damaged()).select(
         "source_file", F.coalesce(CORRUPT, F.lit("")).alias("record")
     )
 

@@ -3,13 +3,15 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from starhouse import HEALTH
+from starhouse.plans.landing import arrived, land_arriving, landed_batch
 from starhouse.schemas import STG_COUNTRY, STG_HEALTH, staging_columns
 from starhouse.sinks.files import write_csv
 from starhouse.sources import read_pages, read_text_csv, static_dim, union_pulls
 from starhouse.sources.csv_text import csv_rejects
-from starhouse.sources.json_pages import COMM_RECORD, COUNTRY_RECORD, HEALTH_RECORD, page_rejects
+from starhouse.sources.json_pages import COMM_RECORD, COUNTRY_RECORD, HEALTH_RECORD, page_rejects, page_schema
 
 LINES = [
     "country_code,country_name,parent_code,parent_title",
@@ -165,3 +167,34 @@ def test_damaged_pages_are_refused(spark, tmp_path, one_page_per_file):
         refused = page_rejects(spark, str(tmp_path), COUNTRY_RECORD, one_page_per_file).collect()
         assert [r.source_file for r in refused] == [name]
         (tmp_path / name).unlink()
+
+
+def test_arriving_pages_are_landed_once(spark, tmp_path):
+    """Three calls give what one batch read gives; a repeated batch adds nothing; damaged pages are set aside."""
+    folder, table = tmp_path / "pull", str(tmp_path / "landed")
+    folder.mkdir()
+    constants = {"disease_name": "D"}
+
+    def page(number, *codes):
+        records = [{"IndicatorCode": c, "SpatialDim": "AAA", "TimeDim": 2020, "NumericValue": 1.50} for c in codes]
+        (folder / f"page-{number}.json").write_text(json.dumps({"value": records}, indent=1))
+
+    page(1, "I1", "I2")
+    land_arriving(spark, str(folder), COMM_RECORD, table, constants)
+    page(2, "I3")
+    (folder / "page-3.json").write_text('{"value": [{"Indi')
+    land_arriving(spark, str(folder), COMM_RECORD, table, constants)
+    land_arriving(spark, str(folder), COMM_RECORD, table, constants)
+    page(4, "I1")
+    land_arriving(spark, str(folder), COMM_RECORD, table, constants)
+
+    want = read_pages(spark, str(folder), COMM_RECORD, constants, one_page_per_file=True, accept_rejects=True)
+    got = arrived(spark, COMM_RECORD, table, constants)
+    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect()) and got.count() == 4
+    set_aside = spark.read.parquet(f"{table}/quarantine").collect()
+    assert [r.source_file for r in set_aside] == ["page-3.json"]
+
+    again = spark.read.schema(page_schema(COMM_RECORD)).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt_record")
+    batch = again.json(str(folder / "page-1.json")).withColumn("source_file", F.lit("page-1.json"))
+    landed_batch(batch, 0, COMM_RECORD, constants, table)
+    assert sorted(arrived(spark, COMM_RECORD, table, constants).collect()) == sorted(want.collect())
