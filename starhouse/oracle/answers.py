@@ -86,7 +86,28 @@ def _staging() -> dict[str, str]:
     def empty(column: str) -> str:
         return f"count(CASE WHEN trim(coalesce(raw_{column}, '')) = '' THEN 1 END) AS empty_{column}"
 
+    def measured(name: str, *columns: str, checks: tuple[str, ...] = (), dated: bool = True) -> list[str]:
+        source = STAGING[name][0]
+        parts = [f"SELECT 'rows' AS measure, CAST(NULL AS VARCHAR) AS value, count(*) AS n FROM {source}"]
+        for check in checks:
+            count, measure = check.rsplit(" AS ", 1)
+            parts.append(f"SELECT '{measure}', NULL, {count} FROM {source}")
+        for side in ("min", "max") if dated else ():
+            parts.append(f"SELECT '{side}_year', {side}(raw_year), CAST(NULL AS BIGINT) FROM {source}")
+        parts += [f"SELECT '{c}', {c}, count(*) FROM {source} GROUP BY {c}" for c in columns]
+        return [f"SELECT '{name}' AS table_name, * FROM ({part})" for part in parts]
+
+    both = (bad_year, bad_value)
+    codes = (empty("country_code"), empty("sex_code"))
+    health = ("raw_spatial_dim_type", "raw_indicator_code", "raw_sex_code")
+    profile = [
+        *measured("stg_health_estimates_raw", *health, checks=(*both, bad_bound("low"), bad_bound("high"), *codes)),
+        *measured("stg_ncd_deaths_raw", "raw_cause_code", checks=(*both, empty("cause_code"), codes[0])),
+        *measured("stg_communicable_deaths_raw", "raw_disease_name", checks=(*both, empty("disease_name"))),
+        *measured("stg_countries_raw", dated=False),
+    ]
     return {
+        "stg_profile": with_tables(ALL_STAGING, _stack(profile)),
         "stg_row_counts": with_tables(
             ALL_STAGING,
             _stack(
@@ -989,8 +1010,23 @@ def _reports() -> dict[str, str]:
     }
 
 
+def _merged() -> dict[str, str]:
+    """The views from states have the answers of the views; the sketches are to be near."""
+    views = _views()
+    check = """SELECT indicator_code, count(*) AS n_rows, count(DISTINCT country_code) AS n_countries,
+                      TRUE AS countries_near, TRUE AS median_near
+               FROM vw_health GROUP BY indicator_code"""
+    return {
+        "vw_yearly_kpi_merged": views["vw_yearly_kpi"],
+        "vw_region_yearly_kpi_merged": views["vw_region_yearly_kpi"],
+        "vw_yearly_deaths_merged": views["vw_yearly_deaths_by_cause"],
+        "vw_sketch_check": with_tables("vw_health", check),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        **_merged(),
         **_sources(),
         **_staging(),
         **_core(),

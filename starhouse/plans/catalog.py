@@ -13,6 +13,7 @@ from starhouse.plans import analytics as A
 from starhouse.plans import core as C
 from starhouse.plans import quality as Q
 from starhouse.plans import staging_reports as S
+from starhouse.plans.staging_profile import profiles
 from starhouse.plans.reports import REPORTS
 from starhouse.plans.views import VIEWS
 from starhouse.plans.warehouse import Warehouse
@@ -41,6 +42,7 @@ STAGING: dict[str, Plan] = {
     "stg_parse_ncd": S.parse_ncd,
     "stg_parse_comm": S.parse_comm,
     "stg_missing_region": S.missing_region,
+    "stg_profile": profiles,
 }
 
 CORE: dict[str, Plan] = {

@@ -51,46 +51,60 @@ def text_year_range(wh: Warehouse) -> DataFrame:
 
 
 def _bad_year() -> Column:
-    return F.count_if(~is_year(clean_text(F.col("raw_year")))).alias("bad_year")
+    return ~is_year(clean_text(F.col("raw_year")))
 
 
 def _bad_value() -> Column:
-    return F.count_if(~is_number(clean_text(F.col("raw_numeric_value")))).alias("bad_numeric_value")
+    return ~is_number(clean_text(F.col("raw_numeric_value")))
 
 
 def _bad_bound(column: str) -> Column:
     text = clean_text(F.col(column))
-    return F.count_if(~is_number(text) & ~text.isin("", "None"))
+    return ~is_number(text) & ~text.isin("", "None")
 
 
-def _empty(column: str) -> Column:
-    return F.count_if(is_blank(F.col(column)))
+def health_checks() -> dict[str, Column]:
+    return {
+        "bad_year": _bad_year(),
+        "bad_numeric_value": _bad_value(),
+        "bad_low": _bad_bound("raw_low"),
+        "bad_high": _bad_bound("raw_high"),
+        "empty_country_code": is_blank(F.col("raw_country_code")),
+        "empty_sex_code": is_blank(F.col("raw_sex_code")),
+    }
+
+
+def ncd_checks() -> dict[str, Column]:
+    return {
+        "bad_year": _bad_year(),
+        "bad_numeric_value": _bad_value(),
+        "empty_cause_code": is_blank(F.col("raw_cause_code")),
+        "empty_country_code": is_blank(F.col("raw_country_code")),
+    }
+
+
+def comm_checks() -> dict[str, Column]:
+    return {
+        "bad_year": _bad_year(),
+        "bad_numeric_value": _bad_value(),
+        "empty_disease_name": is_blank(F.col("raw_disease_name")),
+    }
+
+
+def _counted(stg: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    return stg.agg(*[F.count_if(check).alias(name) for name, check in checks.items()])
 
 
 def parse_health(wh: Warehouse) -> DataFrame:
-    return wh.stg(STG_HEALTH).agg(
-        _bad_year(),
-        _bad_value(),
-        _bad_bound("raw_low").alias("bad_low"),
-        _bad_bound("raw_high").alias("bad_high"),
-        _empty("raw_country_code").alias("empty_country_code"),
-        _empty("raw_sex_code").alias("empty_sex_code"),
-    )
+    return _counted(wh.stg(STG_HEALTH), health_checks())
 
 
 def parse_ncd(wh: Warehouse) -> DataFrame:
-    return wh.stg(STG_NCD).agg(
-        _bad_year(),
-        _bad_value(),
-        _empty("raw_cause_code").alias("empty_cause_code"),
-        _empty("raw_country_code").alias("empty_country_code"),
-    )
+    return _counted(wh.stg(STG_NCD), ncd_checks())
 
 
 def parse_comm(wh: Warehouse) -> DataFrame:
-    return wh.stg(STG_COMM).agg(
-        _bad_year(), _bad_value(), _empty("raw_disease_name").alias("empty_disease_name")
-    )
+    return _counted(wh.stg(STG_COMM), comm_checks())
 
 
 def missing_region(wh: Warehouse) -> DataFrame:

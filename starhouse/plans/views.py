@@ -83,16 +83,21 @@ def communicable_enriched(wh: Warehouse) -> DataFrame:
 def yearly_kpi(wh: Warehouse) -> DataFrame:
     """Aggregated on codes; labels are joined to the few result rows."""
     value = F.col("metric_value")
-    return (
-        wh.health.groupBy("indicator_code", "year_val", "sex_code")
-        .agg(
+    return labelled_kpi(
+        wh,
+        wh.health.groupBy("indicator_code", "year_val", "sex_code").agg(
             F.count("*").alias("n_countries"),
             F.round(F.avg(value), 2).alias("avg_value"),
             F.round(F.min(value), 2).alias("min_value"),
             F.round(F.max(value), 2).alias("max_value"),
             F.round(F.stddev_pop(value).cast("decimal(38,10)"), 2).alias("stddev_value"),
-        )
-        .join(F.broadcast(wh.dim("dim_indicator")), "indicator_code")
+        ),
+    )
+
+
+def labelled_kpi(wh: Warehouse, groups: DataFrame) -> DataFrame:
+    return (
+        groups.join(F.broadcast(wh.dim("dim_indicator")), "indicator_code")
         .join(F.broadcast(wh.dim("dim_sex")), "sex_code")
         .select(
             "indicator_code",
@@ -119,6 +124,10 @@ def region_yearly_kpi(wh: Warehouse) -> DataFrame:
             F.round(F.avg("metric_value"), 2).alias("avg_value"),
         )
     )
+    return with_region_share(wh, per_region)
+
+
+def with_region_share(wh: Warehouse, per_region: DataFrame) -> DataFrame:
     # The window runs over aggregated rows: one per region of an indicator and year.
     total = F.sum("avg_value").over(Window.partitionBy("indicator_code", "year_val"))
     return (
@@ -137,18 +146,21 @@ def region_yearly_kpi(wh: Warehouse) -> DataFrame:
 
 
 def yearly_deaths_by_cause(wh: Warehouse) -> DataFrame:
-    return (
+    return labelled_deaths(
+        wh,
         wh.ncd.filter(F.col("sex_code") == wh.profile.both_sexes)
         .groupBy("cause_code", "year_val")
         .agg(
             F.sum("death_count").alias("total_deaths"),
             F.count_distinct("country_code").alias("n_countries"),
             F.round(F.avg("death_count"), 0).alias("avg_deaths_per_country"),
-        )
-        .join(F.broadcast(wh.dim("dim_cause")), "cause_code")
-        .select(
-            "cause_code", "cause_name", "year_val", "total_deaths", "n_countries", "avg_deaths_per_country"
-        )
+        ),
+    )
+
+
+def labelled_deaths(wh: Warehouse, groups: DataFrame) -> DataFrame:
+    return groups.join(F.broadcast(wh.dim("dim_cause")), "cause_code").select(
+        "cause_code", "cause_name", "year_val", "total_deaths", "n_countries", "avg_deaths_per_country"
     )
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from starhouse.functions.measures import register_sql_functions, safe_pct
 from starhouse.functions.text import clean_text
 from starhouse.operators.constraints import stacked
-from starhouse.plans import quality, staging_reports
+from starhouse.plans import quality, staging_reports, states
 from starhouse.plans.catalog import PLANS
 from starhouse.plans.landing import COUNTRY_PULL, NCD_PULL, REGION_PULL, REGIONS_FILE, land_pages, write_pages
 from starhouse.plans.refresh import changes, publish_repaired, refresh_core
@@ -29,6 +29,7 @@ from starhouse.schemas import (
     CSV_FILES,
     FACTS,
     HEALTH_FACT,
+    NCD_FACT,
     STATIC_DIMS,
     STG_COMM,
     STG_COUNTRY,
@@ -336,6 +337,16 @@ def snk_change_set(wh: Warehouse) -> DataFrame:
     return found.select("change", *HEALTH_FACT.key, "old_low_ci", "old_high_ci", "new_low_ci", "new_high_ci")
 
 
+def _states(wh: Warehouse) -> states.KpiStates:
+    """The KPI states of the published version, computed once a session."""
+    published = _published(wh)
+    with _publishing:
+        if not hasattr(wh, "states"):
+            wh.states = states.KpiStates(published)
+            wh.states.frame(HEALTH_FACT), wh.states.frame(NCD_FACT)
+        return wh.states
+
+
 def refresh_summary(wh: Warehouse) -> DataFrame:
     """A refresh of its own from nothing, and what it loaded."""
     return refresh_core(wh.spark, wh.profile, wh.stg, scratch_path(wh.spark, "refresh"), verbose=True)
@@ -429,6 +440,10 @@ def jobs() -> dict[str, Job]:
         # The repair is published, and checked on what readers then see.
         "dq_repair_inverted": _job(lambda wh: quality.published_bounds(_repaired(wh))),
         "snk_change_set": _job(snk_change_set),
+        "vw_yearly_kpi_merged": _job(lambda wh: states.yearly_kpi(_states(wh))),
+        "vw_region_yearly_kpi_merged": _job(lambda wh: states.region_yearly_kpi(_states(wh))),
+        "vw_yearly_deaths_merged": _job(lambda wh: states.yearly_deaths_by_cause(_states(wh))),
+        "vw_sketch_check": _job(lambda wh: states.sketch_check(_states(wh))),
         "dq_repair_verify": _job(lambda wh: quality.remaining_inverted(_repaired(wh))),
         "fn_safe_pct": fn_safe_pct,
         "fn_smoke": fn_smoke,
