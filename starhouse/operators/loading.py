@@ -2,25 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starhouse.functions.text import clean_text, is_number, is_year, to_number, to_year
 from starhouse.operators.rules import first_violation, rules
 from starhouse.profile import Profile
-from starhouse.schemas import FactSpec
+from starhouse.schemas import FactSpec, staging_columns
 
 # Column of the spatial level in typed staging.
 LEVEL = "spatial_dim_type"
+# Names a staged record by its content.
+RECORD_ID = "record_id"
+
+
+def record_id(spec: FactSpec) -> Column:
+    """A digest of all staged columns of a record as they were read, null and '' told apart.
+
+    It is the same whichever file, order or attempt of a task the record comes from; records
+    that are equal throughout share it.
+    """
+    text = F.to_json(F.struct(*staging_columns(spec.staging)), {"ignoreNullFields": "false"})
+    return F.unhex(F.md5(text))
 
 
-def _clean_columns(stg: DataFrame, spec: FactSpec) -> DataFrame:
+def _clean_columns(stg: DataFrame, spec: FactSpec, keep: Sequence[str] = ()) -> DataFrame:
     raw = [spec.raw_category, "raw_country_code", "raw_spatial_dim_type", "raw_year"]
     raw += ["raw_numeric_value", "raw_low", "raw_high"] + (["raw_sex_code"] if spec.has_sex else [])
-    return stg.select(*[clean_text(F.col(c)).alias(c) for c in raw])
+    return stg.select(*[clean_text(F.col(c)).alias(c) for c in raw], *keep)
 
 
-def _typed_columns(text: DataFrame, spec: FactSpec, tested: bool = False) -> DataFrame:
+def _typed_columns(text: DataFrame, spec: FactSpec, tested: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Typed columns of cleaned text; what does not parse is null.
 
     With ``tested`` the year and value are known to be well-formed and are only
@@ -44,6 +58,7 @@ def _typed_columns(text: DataFrame, spec: FactSpec, tested: bool = False) -> Dat
         number("raw_low", "low_ci"),
         number("raw_high", "high_ci"),
         F.col("raw_spatial_dim_type").alias(LEVEL),
+        *keep,
     )
     paired = F.col("low_ci").isNotNull() & F.col("high_ci").isNotNull()
     return values.withColumns(
@@ -62,22 +77,28 @@ def typed_staging(stg: DataFrame, spec: FactSpec) -> DataFrame:
 
 
 def parsed(
-    stg: DataFrame, spec: FactSpec, profile: Profile, with_bounds: bool = False, seen: Observation | None = None
+    stg: DataFrame,
+    spec: FactSpec,
+    profile: Profile,
+    with_bounds: bool = False,
+    seen: Observation | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Typed country-level rows whose year and value parse, optionally both bounds too.
 
     The tests are on text, before typing: Spark moves filters below projections
     and would otherwise repeat the typing inside them, up to generated code too
-    large for the JVM to compile. ``seen`` counts the country-level rows (n_rows) as they pass.
+    large for the JVM to compile. ``seen`` counts the country-level rows (n_rows) as they pass;
+    ``keep`` names columns of ``stg`` that are kept as they are.
     """
-    text = _clean_columns(stg, spec).filter(F.col("raw_spatial_dim_type") == profile.country_level)
+    text = _clean_columns(stg, spec, keep).filter(F.col("raw_spatial_dim_type") == profile.country_level)
     if seen is not None:
         text = text.observe(seen, F.count("*").alias("n_rows"))
     text = text.filter(is_year(F.col("raw_year")) & is_number(F.col("raw_numeric_value")))
     if with_bounds:
         text = text.filter(is_number(F.col("raw_low")) & is_number(F.col("raw_high")))
     # A number can be well-formed and still too large for the column.
-    typed = _typed_columns(text, spec, tested=True)
+    typed = _typed_columns(text, spec, tested=True, keep=keep)
     return typed.filter(F.col(spec.measure).isNotNull()).drop(LEVEL)
 
 

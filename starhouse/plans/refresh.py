@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starhouse.operators.constraints import stacked, violations
-from starhouse.operators.loading import LEVEL, build_country_dim, parsed, referenced, typed_staging
+from starhouse.operators.loading import LEVEL, RECORD_ID, build_country_dim, parsed, record_id, referenced, typed_staging
 from starhouse.operators.quality import inverted, repair_inverted
 from starhouse.operators.rules import rules, split, strict
 from starhouse.parallel import run_together
@@ -111,6 +111,16 @@ def refresh_core(
     return published_summary(spark, root, version, SUMMARY_SCHEMA) if verbose else None
 
 
+def _named(spec: FactSpec, profile: Profile) -> bool:
+    """Whether typed rows keep their records' ids: only those of a fact that can have rejects."""
+    return bool(rules(spec, profile))
+
+
+def _refused(rejects: DataFrame, spec: FactSpec) -> DataFrame:
+    value, row_key = F.col(spec.measure).cast("string").alias("value"), F.concat_ws("|", *spec.key).alias("row_key")
+    return rejects.select(F.lit(spec.name).alias("table_name"), row_key, value, "reason", RECORD_ID)
+
+
 def _typed_once(spark: SparkSession, profile: Profile, stage: Stage, paths: dict[str, str], max_unreadable: float) -> None:
     """Write the typed country rows of each facts staging table, unless one may not be loaded.
 
@@ -120,7 +130,10 @@ def _typed_once(spark: SparkSession, profile: Profile, stage: Stage, paths: dict
 
     def write(spec: FactSpec) -> None:
         seen, kept = Observation(), Observation()
-        rows = parsed(stage(spec.staging), spec, profile, seen=seen).observe(kept, F.count("*").alias("n"))
+        staged, keep = stage(spec.staging), [RECORD_ID] if _named(spec, profile) else []
+        if keep:
+            staged = staged.withColumn(RECORD_ID, record_id(spec))
+        rows = parsed(staged, spec, profile, seen=seen, keep=keep).observe(kept, F.count("*").alias("n"))
         write_table(rows, paths[spec.name])
         counts[spec.staging] = seen.get["n_rows"], kept.get["n"]
 
@@ -153,7 +166,8 @@ def _write_version(
     rejected: dict[str, int] = {}
 
     def candidates(spec: FactSpec) -> DataFrame:
-        return referenced(spark.read.schema(spec.typed_schema).parquet(typed[spec.name]), spec, references)
+        schema = spec.typed_schema + (f", {RECORD_ID} BINARY" if _named(spec, profile) else "")
+        return referenced(spark.read.schema(schema).parquet(typed[spec.name]), spec, references)
 
     def write_one(spec: FactSpec) -> None:
         if on_violation == "abort":
@@ -181,9 +195,7 @@ def _write_version(
         for spec in FACTS if on_violation == "record" else ():
             if rules(spec, profile):
                 _, rejects = split(candidates(spec), spec, profile)
-                value = F.col(spec.measure).cast("string").alias("value")
-                row_key = F.concat_ws("|", *spec.key).alias("row_key")
-                frames.append(rejects.select(F.lit(spec.name).alias("table_name"), row_key, value, "reason"))
+                frames.append(_refused(rejects, spec))
         seen = Observation()
         write_table(stacked(frames).observe(seen, F.count("*").alias("n")), f"{path}/rejects")
         rejected["n"] = seen.get["n"]
@@ -229,6 +241,70 @@ def publish_repaired(spark: SparkSession, profile: Profile, root: str) -> Publis
     return PublishedWarehouse(spark, profile, root)
 
 
+def replay_rejects(spark: SparkSession, profile: Profile, root: str, mended: DataFrame, spec: FactSpec = HEALTH_FACT) -> PublishedWarehouse:
+    """Load records that the current version refused and that have been mended since.
+
+    ``mended`` has the staging columns of ``spec`` and ``record_id``, the id under which the record
+    stands in ``rejects``. The rows that pass now join the fact: their years are written, all else
+    is taken over. What still breaks a rule stays refused with its new reason; of what is no
+    country row, does not parse or has an unknown reference, the old reject stays. A record that is
+    not among the rejects, one mended twice, or a business key that the fact holds already ends
+    the replay and leaves the current version as it is. A later refresh says again what staging says.
+    """
+    current = PublishedWarehouse(spark, profile, root)
+    refused = current.rejects().filter(F.col("table_name") == spec.name)
+    given = mended.groupBy(RECORD_ID).agg(F.count("*").alias("n"))
+    twice = given.filter(F.col("n") > 1).agg(F.count("*").alias("twice"))
+    foreign = given.join(refused, RECORD_ID, "left_anti").agg(F.count("*").alias("foreign"))
+    found = twice.join(foreign).first()  # one row each
+    if found.twice or found.foreign:
+        raise RefreshRejected(f"not replayed: {found.twice} records mended twice, {found.foreign} not among the rejects")
+    version = new_version()
+    path = version_path(root, version)
+    with released(spark):
+        kept_id = "_reject"
+        text = mended.withColumnRenamed(RECORD_ID, kept_id)
+        rows = parsed(text, spec, profile, keep=[kept_id])
+        typed = scratch_path(spark, "replayed")
+        write_table(referenced(rows, spec, current.dims()).withColumnRenamed(kept_id, RECORD_ID), typed)
+        rows = spark.read.schema(f"{spec.typed_schema}, {RECORD_ID} BINARY").parquet(typed)
+        accepted, rejects = split(rows, spec, profile)
+        years = sorted(r.y for r in accepted.select(F.col("year_val").cast("int").alias("y")).distinct().collect())  # a row a year
+        if not years and rejects.isEmpty():
+            return current
+        # Equal records share an id: one mended record stands for each of them, and may be loaded once.
+        others = current.rejects().join(rows.select(F.lit(spec.name).alias("table_name"), RECORD_ID), ["table_name", RECORD_ID], "left_anti")
+        columns = current.rejects().columns
+        seen = Observation()
+        left = others.select(*columns).unionByName(_refused(rejects, spec)).observe(seen, F.count("*").alias("n"))
+        write_table(left, f"{path}/rejects")
+        added = 0
+        parts = list(current.manifest.parts)
+        if years:
+            whole = current.stored_fact(spec, years).select(*spec.columns).unionByName(accepted.select(*spec.columns))
+            own = year_digests(whole, spec, version)
+            starts, total = {}, 0
+            for part in sorted(own, key=lambda p: p.year):
+                starts[part.year] = total
+                total += part.n_rows
+            write_fact(whole, spec, f"{path}/{spec.name}", starts)
+            before = sum(p.n_rows for p in parts if p.table_name == spec.name and p.year in starts)
+            added = total - before
+            parts = [p for p in parts if p.table_name != spec.name or p.year not in starts] + own
+    taken = {name: current.manifest.tables.get(name, current.version) for name in (*STATIC_DIMS, "dim_country")}
+    written = PublishedWarehouse(spark, profile, root, manifest=Manifest(version, taken, tuple(parts)))
+    failed = violations(written.stored_fact(spec, years), spec.name, spec.key + [spec.measure], spec.key)
+    broken = failed.filter(F.col("n_violations") > 0).collect()  # a row a check
+    if broken:
+        names = ", ".join(f"{r.constraint_name} ({r.n_violations})" for r in broken)
+        raise RefreshRejected(f"version {version} not published: {names}")
+    counted = "facts_loaded" if spec is HEALTH_FACT else "deaths_loaded"
+    summary = published_summary(spark, root, current.version, SUMMARY_SCHEMA)
+    summary = summary.withColumn(counted, F.col(counted) + F.lit(added)).withColumn("rows_rejected", F.lit(seen.get["n"]))
+    publish(summary, root, version, taken, parts)
+    return PublishedWarehouse(spark, profile, root)
+
+
 def changes(before: PublishedWarehouse, after: PublishedWarehouse, spec: FactSpec) -> DataFrame:
     """Rows of a fact that were inserted, deleted or updated between two versions.
 

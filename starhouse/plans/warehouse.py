@@ -37,7 +37,7 @@ from starhouse.sinks.versions import Manifest, published, version_path
 from starhouse.sources.literal import static_dim
 
 Stage = Callable[[str], DataFrame]
-REJECTS_SCHEMA = "table_name STRING, row_key STRING, value STRING, reason STRING"
+REJECTS_SCHEMA = "table_name STRING, row_key STRING, value STRING, reason STRING, record_id BINARY"
 
 
 class Warehouse:
@@ -205,7 +205,7 @@ class PublishedWarehouse(Warehouse):
         return self._frame(spec.name, read)
 
     def rejects(self) -> DataFrame:
-        """Rows that the refresh refused: table_name, row_key, value, reason."""
+        """Rows that the refresh refused: table_name, row_key, value, reason, record_id."""
         return self._parquet("rejects", REJECTS_SCHEMA, self.path("rejects"))
 
 

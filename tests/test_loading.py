@@ -9,15 +9,15 @@ from planted import BOTH, HALE, HEALTH_LOADED, HEALTH_ROWS, LE, LE60, MORT, fram
 from pyspark.sql import functions as F
 
 from starhouse import HEALTH
-from starhouse.operators.loading import build_country_dim, keyed_update, match_ignoring_case, with_outcome
+from starhouse.operators.loading import build_country_dim, keyed_update, match_ignoring_case, record_id, with_outcome
 from starhouse.operators.rules import split, strict
 from starhouse.plans import core
-from starhouse.plans.refresh import RefreshRejected, changes, publish_repaired, refresh_core, staging_gate
+from starhouse.plans.refresh import SUMMARY_SCHEMA, RefreshRejected, changes, publish_repaired, refresh_core, replay_rejects, staging_gate
 from starhouse.plans.views import VIEWS, publish_views
 from starhouse.plans.warehouse import DerivedWarehouse, PublishedWarehouse
 from starhouse.schemas import COMM_FACT, FACTS, HEALTH_FACT, NCD_FACT, STG_COMM, STG_COUNTRY, STG_HEALTH, staging_schema
 from starhouse.scratch import shared_folder
-from starhouse.sinks.versions import manifests, new_version, publish, published_version, remove_unreachable
+from starhouse.sinks.versions import manifests, new_version, publish, published_summary, published_version, remove_unreachable
 
 
 def test_country_dimension(wh):
@@ -412,3 +412,62 @@ def test_a_refresh_leaves_no_copy_of_its_facts(spark, staged, tmp_path):
     before = set(folder.glob("ordered-*"))
     refresh_core(spark, HEALTH, staged, str(tmp_path / "core"))
     assert set(folder.glob("ordered-*")) == before
+
+
+# --- replay of rejects --------------------------------------------------------
+
+
+def _mended(spark, warehouse, stage, change):
+    """The rejected staging records with ``change`` made, under the ids of the rejects."""
+    staged_rows = stage(STG_HEALTH).withColumn("record_id", record_id(HEALTH_FACT))
+    found = staged_rows.join(warehouse.rejects().select("record_id", "reason"), "record_id")
+    return found.withColumns(change).drop("reason")
+
+
+def test_rejects_mended_and_replayed_equal_a_clean_load(spark, staged, tmp_path):
+    root = str(tmp_path / "core")
+    refresh_core(spark, HEALTH, staged, root)
+    first = PublishedWarehouse(spark, HEALTH, root)
+    negative = F.col("raw_numeric_value") == "-5.0"
+    value = {"raw_numeric_value": F.when(negative, "5.0").otherwise(F.col("raw_numeric_value"))}
+    year = {"raw_year": F.when(F.col("raw_year").isin("1850", "2150"), "1990").otherwise(F.col("raw_year"))}
+
+    # One is mended, two still break their rule.
+    second = replay_rejects(spark, HEALTH, root, _mended(spark, first, staged, value))
+    assert second.health.count() == HEALTH_LOADED + 1
+    assert [r.reason for r in second.rejects().collect()] == ["year_out_of_range"] * 2
+    assert _folders(tmp_path / "core", second.version)[HEALTH_FACT.name] == ["year_val=2006"]
+    # What still fails keeps its id; both get one year, but they would have the same key.
+    both = _mended(spark, second, staged, year)
+    assert both.count() == 2
+    with pytest.raises(RefreshRejected, match="unique:indicator_code"):
+        replay_rejects(spark, HEALTH, root, both)
+    apart = both.withColumn("raw_country_code", F.when(F.col("raw_numeric_value") == "90", "BBB").otherwise(F.col("raw_country_code")))
+    third = replay_rejects(spark, HEALTH, root, apart)
+    assert third.rejects().count() == 0 and published_version(spark, root) == third.version
+    assert published_summary(spark, root, third.version, SUMMARY_SCHEMA).first() == (5, HEALTH_LOADED + 3, 13, 0)
+
+    moved = (F.col("raw_year") == "2150") & (F.col("raw_country_code") == "AAA")
+    clean = staged(STG_HEALTH).withColumn("raw_country_code", F.when(moved, "BBB").otherwise(F.col("raw_country_code")))
+    clean = clean.withColumns({**value, **year})
+    refresh_core(spark, HEALTH, lambda t: clean if t == STG_HEALTH else staged(t), str(tmp_path / "clean"))
+    want = PublishedWarehouse(spark, HEALTH, str(tmp_path / "clean"))
+    for spec in FACTS:
+        assert _rows(third, spec) == _rows(want, spec)
+        digests = [{y: p.digest for y, p in w.manifest.years(spec.name).items()} for w in (third, want)]
+        assert digests[0] == digests[1]
+
+
+def test_a_replay_takes_only_what_was_refused(spark, staged, tmp_path):
+    root = str(tmp_path / "core")
+    refresh_core(spark, HEALTH, staged, root)
+    first = PublishedWarehouse(spark, HEALTH, root)
+    loaded = staged(STG_HEALTH).withColumn("record_id", record_id(HEALTH_FACT))
+    for rows in (loaded, _mended(spark, first, staged, {}).unionByName(_mended(spark, first, staged, {}))):
+        with pytest.raises(RefreshRejected, match="not replayed"):
+            replay_rejects(spark, HEALTH, root, rows)
+    nothing = _mended(spark, first, staged, {}).filter("false")
+    unreadable = _mended(spark, first, staged, {"raw_year": F.lit("?")})
+    for rows in (nothing, unreadable):
+        assert replay_rejects(spark, HEALTH, root, rows).version == first.version
+    assert first.rejects().filter("record_id IS NULL").count() == 0
