@@ -58,6 +58,11 @@ class Crf:
     lexical: np.ndarray  # row: language whose lexicon holds the word
     transitions: np.ndarray
 
+    @property
+    def seen(self) -> np.ndarray:
+        """Which rows of ``grams`` training has touched."""
+        return (self.grams != 0).any(axis=1)
+
     def emissions(self, words: list[str]) -> np.ndarray:
         if not words:
             return np.zeros((0, len(self.languages)), np.float32)
@@ -359,6 +364,48 @@ class Labeller:
         return names, score.tolist()
 
 
+class Judge(Labeller):
+    """A labeller that also says how much of a text resembles what the model was trained on."""
+
+    def __init__(self, model: Crf | None):
+        super().__init__(model)
+        if model is not None:
+            self.seen = model.seen
+            #: What an n-gram that training never met is taken for by its hash alone.
+            self.chance = float(self.seen[:-1].mean())
+
+    def familiar(self, texts: list[str | None]) -> list[float]:
+        """The share of each text's n-grams that training met, beyond chance: 0 to 1.
+
+        An n-gram never met shares its bucket with one that was met at the rate of used buckets,
+        so that rate counts as 0, whatever the number of languages. A text without letters has
+        0; where every bucket is used nothing can be told and every text has 1.
+        """
+        if self.model is None:
+            return [0.0] * len(texts)
+        words, lengths = words_of(texts)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if not distinct:
+            return [0.0] * len(texts)
+        ids, starts = gram_features(distinct, len(self.seen) - 1)
+        met, all_ = (np.add.reduceat(sum(f(own) for own in ids), starts) for f in (self._met, self._real))
+        rows = coded.indices.to_numpy()
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        met, all_ = (np.concatenate([[0], np.cumsum(n[rows])]) for n in (met, all_))
+        met, all_ = met[upto[1:]] - met[upto[:-1]], all_[upto[1:]] - all_[upto[:-1]]
+        if self.chance >= 1:
+            return np.where(lengths > 0, 1.0, 0.0).tolist()
+        share = (met / np.maximum(all_, 1) - self.chance) / (1 - self.chance)
+        return np.where(lengths > 0, np.clip(share, 0, 1), 0.0).tolist()
+
+    def _met(self, ids: np.ndarray) -> np.ndarray:
+        return self.seen[ids].astype(np.int64)
+
+    def _real(self, ids: np.ndarray) -> np.ndarray:
+        return (ids != len(self.seen) - 1).astype(np.int64)
+
+
 def _spans(texts: list[str | None], languages: int = 1) -> Iterator[slice]:
     """Runs of texts of bounded total length, less for many languages; a longer text stands alone."""
     start = total = 0
@@ -373,24 +420,32 @@ def _spans(texts: list[str | None], languages: int = 1) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
-def with_language(docs: DataFrame, model: Crf | None, pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with its predicted language; every other column is kept, one of the two names replaced."""
+def with_language(
+    docs: DataFrame, model: Crf | None, pred: str = "lang_pred", score: str = "score", familiar: str | None = None
+) -> DataFrame:
+    """``docs`` with its predicted language; every other column is kept, one of the added names replaced.
+
+    ``familiar`` names a further column for :meth:`Judge.familiar`.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: buckets x languages
-    kind = f"struct<{pred}: string, {score}: double>"
+    added = [pred, score, *([familiar] if familiar else [])]
+    kind = f"struct<{pred}: string, {score}: double{f', {familiar}: double' if familiar else ''}>"
 
     @F.pandas_udf(kind)
     def labels(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        labeller = Labeller(shared.value)
+        labeller = Judge(shared.value) if familiar else Labeller(shared.value)
         for batch in batches:
-            texts, names, scores = batch.tolist(), [], []
+            texts, names, scores, shares = batch.tolist(), [], [], []
             for span in _spans(texts, labeller.scores.shape[1]):
                 n, s = labeller.label(texts[span])
                 names += n
                 scores += s
-            yield pd.DataFrame({pred: names, score: scores})
+                if familiar:
+                    shares += labeller.familiar(texts[span])
+            yield pd.DataFrame(dict(zip(added, (names, scores, shares))))
 
-    docs, named = shielded(docs.drop(pred, score))
-    out = docs.withColumn("_label", labels("text")).select("*", f"_label.{pred}", f"_label.{score}").drop("_label")
+    docs, named = shielded(docs.drop(*added))
+    out = docs.withColumn("_label", labels("text")).select("*", *[f"_label.{c}" for c in added]).drop("_label")
     return named(out)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
+import regex
 from pyspark.sql import functions as F
 
 from starhouse.llm import language_crf as crf
@@ -119,3 +120,54 @@ def test_more_languages_than_bits_of_a_word(documents):
     found = {r.doc_id: r for r in crf.predict(documents(rows)).collect()}
     assert len(found) == len(rows)
     assert sum(found[r[0]].lang_pred == r[2] for r in rows) > 0.9 * len(rows)
+
+
+def plain_familiar(model, text):
+    """Share of n-grams met in training beyond chance, a word and an n-gram at a time; 0 without letters."""
+    last = len(model.grams) - 1
+    met = real = 0
+    for word in regex.findall(r"\p{L}+", text.lower()):
+        ids, _ = crf.gram_features([word], last)
+        grams = [i for own in ids for i in own.tolist() if i != last]
+        met += sum(bool(model.grams[i].any()) for i in grams)
+        real += len(grams)
+    if not real:
+        return 0.0
+    chance = sum(bool(row.any()) for row in model.grams[:-1]) / last
+    return min(1.0, max(0.0, (met / real - chance) / (1 - chance)))
+
+
+FOREIGN = [
+    "это предложение написано на русском языке и не должно остаться здесь",
+    "αυτή η πρόταση είναι γραμμένη στα ελληνικά και δεν πρέπει να μείνει εδώ",
+    "zxqv wkrtp bvnmq xxzzq pqrst wvvk jjhq qwpl",
+]
+
+
+def test_unknown_languages_are_not_familiar(spark, sf_dir):
+    """The texts of the table are, two of them joined and a license line too; other scripts and letters at random are not."""
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.filter("text rlike '[a-z]'").collect()
+    by_lang = {r.lang: r.text[:400] for r in rows if len(r.text) > 3000}
+    mixed = [" ".join(by_lang.values()), "This work is licensed under the GNU General Public License", None, "", "123 !"]
+    # The share beyond chance does not rise with the number of labels, though more buckets are used.
+    more = docs.withColumn("lang", F.concat("lang", (F.col("doc_id") % 5).cast("string")))
+    for model in (crf.train(docs), crf.train(more)):
+        judge = crf.Judge(model)
+        assert min(judge.familiar([r.text for r in rows])) > 0.6
+        assert max(judge.familiar(FOREIGN)) < 0.4
+        found = judge.familiar(mixed)
+        assert min(found[:2]) > 0.6 and found[2:] == [0, 0, 0]
+        texts = [*FOREIGN, *mixed, *[r.text for r in rows[:20]]]
+        assert np.allclose(judge.familiar(texts), [plain_familiar(model, t or "") for t in texts])
+    assert crf.Judge(None).familiar(["a"]) == [0.0] and crf.Judge(model).familiar([]) == []
+
+
+def test_familiar_is_a_further_column(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").limit(50)
+    model = crf.train(docs)
+    found = crf.with_language(docs.withColumn("near", F.lit(1)), model, familiar="near")
+    assert found.columns == [*docs.columns, "lang_pred", "score", "near"]
+    judge = crf.Judge(model)
+    rows = found.collect()
+    assert np.allclose([r.near for r in rows], judge.familiar([r.text for r in rows]))

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 from compare import differences
 from test_matching_and_mix import lags_within_one
+from test_language import plain_familiar
 from test_near_duplicates import brute
 
 import __spark_entry__ as driver
@@ -55,9 +56,8 @@ def check_stages(spark, docs, sf_dir, tmp_path):
             assert docs.columns == list(DOCUMENT_COLUMNS)
 
     before, after = by_stage["language"]
-    labelled = language_crf.Labeller(language_crf.train(spark.createDataFrame(before, after.schema)))
-    names, scores = labelled.label([r[1] for r in before])
-    kept = [r for r, n, s in zip(before, names, scores) if n != "und" and s >= corpus_pipeline.MIN_LANGUAGE_SCORE]
+    model = language_crf.train(spark.createDataFrame(before, after.schema))
+    kept = [r for r in before if plain_familiar(model, r[1] or "") >= corpus_pipeline.MIN_FAMILIAR]
     assert Counter(collected(after)) == Counter(kept)
 
     before, after = by_stage["lines"]
