@@ -15,17 +15,16 @@ from pyspark.sql import functions as F
 from starhouse.llm import dart_minhash, edit_matching, language_crf, line_spread, pfair_mix
 from starhouse.llm.common import DOCUMENT_COLUMNS, stored, table
 
-#: A document is rejected when no language reaches this share of its words.
-MIN_LANGUAGE_SCORE = 0.3
+#: A document is rejected when less of its n-grams were met in training, beyond chance.
+MIN_FAMILIAR = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters and those in which no language has a clear share."""
+    """Drops documents without letters and those that resemble none of the learned languages."""
     model = language_crf.train(docs)
-    named = language_crf.with_language(docs.select(*DOCUMENT_COLUMNS), model, "_pred", "_score")
-    return named.filter((F.col("_pred") != language_crf.UNKNOWN) & (F.col("_score") >= MIN_LANGUAGE_SCORE)).select(
-        *DOCUMENT_COLUMNS
-    )
+    named = language_crf.with_language(docs.select(*DOCUMENT_COLUMNS), model, "_pred", "_score", "_familiar")
+    known = (F.col("_pred") != language_crf.UNKNOWN) & (F.col("_familiar") >= MIN_FAMILIAR)
+    return named.filter(known).select(*DOCUMENT_COLUMNS)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
