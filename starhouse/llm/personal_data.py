@@ -10,8 +10,9 @@ The labels are the checks of the base patterns: a candidate with the extent of a
 span is positive; a match of a base pattern that fails its check, and a piece inside an accepted
 span, are negative; all others have no label, and it is these the trees are for. Equal
 candidates in equal contexts count once in training, so copies of a text have no weight of their
-own; about ``SAMPLE_ROWS`` of them for each kind and label are drawn by hash, one in ``HELD_OUT``
-for the thresholds.
+own. All of them are used, however many: one in ``HELD_OUT`` by hash for the thresholds, the
+others for the trees. Up to ``TASK_ROWS`` of them the trees are the same on every run; beyond, tasks
+add up their sums in the order they end.
 
 A text is read once: matches and the pieces between them give lengths and contexts, and places
 are running sums over rows, so a text with very many matches costs no more than its length.
@@ -34,12 +35,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starhouse.llm.common import let, stored, text_or_empty
+from starhouse.operators.ordering import with_running_total
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
 
-#: Rows for each kind and label that the trees and thresholds are fitted on, about.
-SAMPLE_ROWS = 5000
+#: Labelled rows that one task holds while the trees are fitted, about.
+TASK_ROWS = 100_000
 HELD_OUT = 4
 #: Share of true spans among those a threshold selects from the held-out rows.
 PRECISION = 0.99
@@ -247,47 +249,51 @@ class Model:
         return out
 
 
-def sample(featured: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """About ``rows`` distinct candidates a kind and label, by hash; ``held_out`` marks those for the thresholds."""
+def labelled(featured: DataFrame) -> DataFrame:
+    """All distinct candidates that have a label; ``held_out`` marks those for the thresholds."""
     names = [f"x_{name}" for name in FEATURES]
     whole = ["kind", "label", "form", "before", "after"]
     distinct = stored(featured.filter("label IS NOT NULL").dropDuplicates(whole).select(*whole, *names), "personal-labelled")
-    sizes = distinct.groupBy("kind", "label").agg(F.count("*").alias("_n"))  # at most two rows a kind
-    draw = F.pmod(F.xxhash64(*whole), F.lit(1 << 30)) / float(1 << 30)
-    drawn = distinct.join(F.broadcast(sizes), ["kind", "label"]).filter(draw * F.col("_n") < rows)
-    drawn = drawn.withColumn("held_out", F.pmod(F.xxhash64(F.lit("held out"), *whole), F.lit(HELD_OUT)) == 0)
-    # The order makes sums, and so the trees, the same on every run.
-    drawn = drawn.coalesce(1).sortWithinPartitions(*whole)
-    return stored(drawn.select("kind", "label", "held_out", *names), "personal-sample")
+    tasks = max(1, -(-distinct.count() // TASK_ROWS))
+    marked = distinct.withColumn("held_out", F.pmod(F.xxhash64(F.lit("held out"), *whole), F.lit(HELD_OUT)) == 0)
+    # The order makes the sums of a task, and so the trees of one task, the same on every run.
+    dealt = marked.repartition(tasks, *whole).sortWithinPartitions(*whole)
+    return stored(dealt.select("kind", "label", "held_out", *names), "personal-dealt")
+
+
+def thresholds(judged: DataFrame) -> dict[int, float]:
+    """The threshold of each kind from rows with kind, label and score; kinds without a precise one have none."""
+    by_score = judged.groupBy("kind", "score").agg(F.count("*").alias("_n"), F.sum("label").alias("_true"))
+    best = [F.desc("score")]
+    reached = with_running_total(by_score, ["kind"], best, "_n", "_seen")
+    reached = stored(with_running_total(reached, ["kind"], best, "_true", "_found"), "personal-reached")
+    precise = (F.col("_true") > 0) & (F.col("_found") / F.col("_seen") >= PRECISION)
+    passing = reached.filter(precise).groupBy("kind").agg(F.min("score").alias("low"))
+    below = reached.join(F.broadcast(passing), "kind").groupBy("kind", "low").agg(F.max(F.when(F.col("score") < F.col("low"), F.col("score"))).alias("next"))
+    # Half way to the best held-out row that must stay out, but never below even odds.
+    middle = F.greatest(F.lit(0.5), (F.col("low") + F.coalesce("next", F.lit(0.0))) / 2)
+    return {r.kind: r.threshold for r in below.select("kind", middle.alias("threshold")).collect()}  # a row a kind
 
 
-def fit(featured: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
+def fit(featured: DataFrame) -> Model | None:
     """Trees and thresholds, or None where one of the labels has no rows to fit on."""
-    labelled = sample(featured, rows)
-    if labelled.filter("NOT held_out").agg(F.count_distinct("label")).first()[0] < 2:
+    rows = labelled(featured)
+    if rows.filter("NOT held_out").agg(F.count_distinct("label")).first()[0] < 2:
         return None
     booster = GBTClassifier(labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7)
-    model = Model(booster.fit(_assembled(labelled.filter("NOT held_out"))), {})
-    judged = model.scored(labelled.filter("held_out"))
-    best = Window.partitionBy("kind").orderBy(F.desc("score"))  # ties share a place
-    precision = F.sum("label").over(best) / F.count("*").over(best)
-    judged = judged.withColumn("precision", precision)
-    passing = judged.filter((F.col("label") == 1) & (F.col("precision") >= PRECISION)).groupBy("kind").agg(F.min("score").alias("low"))
-    below = judged.join(F.broadcast(passing), "kind").groupBy("kind", "low").agg(F.max(F.when(F.col("score") < F.col("low"), F.col("score"))).alias("next"))
-    # Half way to the best held-out row that must stay out, but never below even odds.
-    middle = F.greatest(F.lit(0.5), (F.col("low") + F.coalesce("next", F.lit(0.0))) / 2)
-    model.thresholds = {r.kind: r.threshold for r in below.select("kind", middle.alias("threshold")).collect()}  # a row a kind
+    model = Model(booster.fit(_assembled(rows.filter("NOT held_out"))), {})
+    model.thresholds = thresholds(model.scored(rows.filter("held_out")).select("kind", "label", "score"))
     return model
 
 
-def find_personal(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+def find_personal(docs: DataFrame) -> DataFrame:
     """_row, doc_id, base and spans (base and selected ones): arrays of start, kind, end, in
     order; ``kind`` numbers ``KINDS``."""
     found = stored(proposed(docs), "personal-hits")
     judged = stored(with_features(candidates(found)), "personal-candidates")
     span = ["_row", "start", "kind", "end"]
     chosen = judged.filter("accepted").select(*span, F.lit(True).alias("is_base"))
-    if model := fit(judged, rows):
+    if model := fit(judged):
         free = model.scored(judged.filter("NOT overlaps")).filter(model.selected())
         # A span inside another selected one is a part of it; of equal ones the best kind stays.
         inside = Window.partitionBy("_row").orderBy("start", F.desc("end"), F.desc("score"), "kind")
@@ -313,24 +319,24 @@ def listed(spans: str) -> Column:
     return F.concat_ws(",", one)
 
 
-def report(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+def report(docs: DataFrame) -> DataFrame:
     """A row for each document with counts of the base kinds, their digest, and all spans."""
 
     def count(kind: int) -> Column:
         return F.size(F.filter("base", lambda p: p["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
 
-    return find_personal(docs, rows).select(
+    return find_personal(docs).select(
         "doc_id", *[count(k) for k in range(len(KINDS))], F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans")
     )
 
 
-def redacted(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+def redacted(docs: DataFrame) -> DataFrame:
     """doc_id and text, every span replaced by its kind in brackets; overlapping spans share the first's.
 
     Null texts become empty. The table is read twice and must give the same rows in the same
     order each time, as files do.
     """
-    found = find_personal(docs, rows).select("_row", "spans")
+    found = find_personal(docs).select("_row", "spans")
     texts = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", text_or_empty().alias("_text"))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 

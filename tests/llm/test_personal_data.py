@@ -150,3 +150,28 @@ def test_no_python_in_the_plans(spark, documents):
     plan = pd_.report(documents(rows_of(ODD)))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert pd_.passes_luhn(F.lit("1")) is not None
+
+
+def test_every_labelled_row_is_fitted(spark, documents, monkeypatch):
+    """More candidates of a kind and label than any sample held: trees and thresholds share out all of them."""
+    seen = {}
+
+    class Booster:
+        def __init__(self, **settings):
+            pass
+
+        def fit(self, rows):
+            seen["trees"] = rows.count()
+
+    def scored(model, rows):
+        seen["thresholds"] = rows.count()
+        return rows.withColumn("score", F.col("label"))
+
+    monkeypatch.setattr(pd_, "GBTClassifier", Booster)
+    monkeypatch.setattr(pd_.Model, "scored", scored)
+    texts = [f"write to a{i}@mail{i % 7}.org or 999.{i}.1.1 now" for i in range(7000)]
+    rows = pd_.with_features(pd_.candidates(pd_.proposed(documents(rows_of(texts)))))
+    model = pd_.fit(rows)
+    distinct = rows.filter("label IS NOT NULL").dropDuplicates(["kind", "label", "form", "before", "after"]).count()
+    assert distinct >= 14000 and seen["trees"] + seen["thresholds"] == distinct
+    assert model.thresholds[pd_.EMAIL] == 0.5
