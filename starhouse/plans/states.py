@@ -48,21 +48,22 @@ def state_schema(spec: FactSpec) -> str:
 
 def states_of(rows: DataFrame, regions: DataFrame, spec: FactSpec) -> DataFrame:
     """The states of fact rows; ``regions`` has country_code and region_name."""
-    value = F.col(spec.measure)
-    return (
-        rows.join(regions, "country_code")
-        .groupBy(*_keys(spec))
-        .agg(
-            F.count("*").alias("n"),
-            F.count_distinct("country_code").alias("n_countries"),
-            F.sum(value).alias("total"),
-            (F.var_pop(value) * F.count("*")).alias("squares"),
-            F.min(value).alias("low"),
-            F.max(value).alias("high"),
-            F.hll_sketch_agg("country_code", COUNTRY_SKETCH).alias("countries"),
-            F.kll_sketch_agg_double(value.cast("double"), VALUE_SKETCH).alias("sketch"),
-        )
+    value, keys = F.col(spec.measure), _keys(spec)
+    placed = rows.join(regions, "country_code")
+    # Apart from the distinct count, which would make a pair of sketches for each country of a group.
+    counted = placed.select(*keys, "country_code").distinct().groupBy(*keys).agg(F.count("country_code").alias("n_countries"))
+    counted = counted.withColumnsRenamed({k: f"_{k}" for k in keys})
+    summed = placed.groupBy(*keys).agg(
+        F.count("*").alias("n"),
+        F.sum(value).alias("total"),
+        (F.var_pop(value) * F.count("*")).alias("squares"),
+        F.min(value).alias("low"),
+        F.max(value).alias("high"),
+        F.hll_sketch_agg("country_code", COUNTRY_SKETCH).alias("countries"),
+        F.kll_sketch_agg_double(value.cast("double"), VALUE_SKETCH).alias("sketch"),
     )
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return summed.join(counted, same).drop(*counted.columns[:-1])
 
 
 class KpiStates:

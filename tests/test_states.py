@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +118,17 @@ def test_value_sketch_is_near_at_every_rank(spark):
     assert row[0] == 20000 and abs(row[1] - 3000) <= 0.064 * 3000
     for rank, value in zip(ranks, row[2:]):
         assert abs(sum(v <= value for v in values) / 20000 - rank) < 0.04
+
+
+def test_sketches_are_kept_a_group_and_not_a_country(spark):
+    """Beside a distinct count, one aggregation would make and shuffle both sketches for every country of a group."""
+    columns = "country_code string, year_val smallint, sex_code string, indicator_code string, metric_value decimal(18,6)"
+    row = [(f"c{i % 40}", 2019, "N", "I", i) for i in range(80)] + [(None, 2019, "N", "I", 1), ("c1", None, "N", None, 7)]
+    rows = spark.createDataFrame([(*r[:4], Decimal(r[4])) for r in row], columns)
+    regions = spark.createDataFrame([(f"c{i}", "R") for i in range(30)], "country_code string, region_name string")
+    found = states.states_of(rows, regions, HEALTH_FACT)
+    plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "simple")
+    sketching = [re.search(r"keys=\[([^]]*)\]", x).group(1) for x in plan.splitlines() if "hll_sketch_agg" in x and "keys=[" in x]
+    assert sketching and not any("country_code" in keys for keys in sketching)
+    got = {(r.indicator_code, r.year_val): (r.n, r.n_countries, r.total) for r in found.collect()}
+    assert got == {("I", 2019): (60, 30, sum(i for i in range(80) if i % 40 < 30)), (None, None): (1, 1, 7)}
