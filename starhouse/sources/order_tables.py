@@ -13,8 +13,10 @@ cleaning rule and every check has something to find:
 * rows staged twice: of suppliers without a region, and some whole countries
 
 Each facts table costs one pass over lineitem with the columns it needs. The
-joins to part and orders go by key and are left to adaptive execution, which
-broadcasts a side that turns out small and splits a key that turns out hot; the
+join to part goes by key and is left to adaptive execution, which broadcasts a
+side that turns out small and splits a key that turns out hot. So is the join to
+orders, until lines are so many that a task would hold more and more of them: then
+lines and orders are dealt by their number, and a hot order is sorted by one task. The
 aggregation that follows combines on the map side, so a hot supplier shrinks to
 its few groups before it is shuffled.
 """
@@ -24,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starhouse.parallel import dealt
 from starhouse.schemas import STG_COMM, STG_COUNTRY, STG_HEALTH, STG_NCD, staging_columns
 
 SOURCE_TABLES = ("lineitem", "part", "orders", "customer", "supplier", "nation", "region")
@@ -51,6 +54,13 @@ def _health_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_orders(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Order lines with their orders, both dealt by the number of lines."""
+    n = lines.count()  # from the footers of the files
+    lines, orders = dealt(lines, n, "l_orderkey"), dealt(orders, n, "o_orderkey")
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+
+
 def _ncd_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_returnflag", "l_quantity"
@@ -61,7 +71,7 @@ def _ncd_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     dated = orders.join(customer, orders.o_custkey == customer.c_custkey)
     return (
-        lines.join(dated, lines.l_orderkey == dated.o_orderkey)
+        _with_orders(lines, dated)
         .groupBy(
             F.col("c_mktsegment").alias("category"),
             F.col("l_suppkey").alias("supp"),
@@ -81,7 +91,7 @@ def _comm_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", yr.alias("yr"), priority.alias("category")
     )
     return (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+        _with_orders(lines, orders)
         .groupBy("category", F.col("l_suppkey").alias("supp"), "yr")
         .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(18,2)").alias("value"))
     )

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from starhouse import registry
+from starhouse import parallel, registry
 from starhouse.operators.constraints import violations
 from starhouse.plans.catalog import PLANS, QUESTIONS
 from starhouse.schemas import STG_COMM, STG_HEALTH, STG_NCD
@@ -116,3 +116,26 @@ def test_loading_code_stays_small_enough_to_compile(spark, retail):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
     assert sizes and max(sizes) < 8000
+
+
+@pytest.mark.parametrize("table", [STG_NCD, STG_COMM])
+def test_lines_and_orders_are_dealt_by_their_number(spark, sf_dir, table, monkeypatch):
+    """A task's share of the join does not grow with the tables, and the rows stay the same."""
+    plain = stage(spark, sf_dir, table)
+    n = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    monkeypatch.setattr(parallel, "ROWS_A_TASK", -(-n // 50))
+    many = stage(spark, sf_dir, table)
+    text = physical(many)
+    assert re.search(r"hashpartitioning\(l_orderkey#\d+L, 50\)", text)
+    assert many.exceptAll(plain).count() == 0 == plain.exceptAll(many).count()
+
+
+def test_rows_are_dealt_by_key_before_violations_are_counted(spark, monkeypatch):
+    rows = [(i % 40 if i % 9 else None, i % 2, None if i % 7 else 1) for i in range(90)]
+    df = spark.createDataFrame(rows, "a int, b int, v int")
+    plain = violations(df, "t", ["a", "v"], ["a", "b"]).collect()
+    monkeypatch.setattr(parallel, "ROWS_A_TASK", 3)
+    many = violations(df, "t", ["a", "v"], ["a", "b"])
+    before, after = physical(many).rsplit("hashpartitioning(a#", 1)
+    assert re.match(r"\d+, b#\d+, 30\)", after) and "HashAggregate" not in after
+    assert sorted(many.collect()) == sorted(plain)
