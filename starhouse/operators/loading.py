@@ -18,13 +18,18 @@ LEVEL = "spatial_dim_type"
 RECORD_ID = "record_id"
 
 
-def record_id(spec: FactSpec) -> Column:
-    """A digest of all staged columns of a record as they were read, null and '' told apart.
+def record(spec: FactSpec) -> Column:
+    """All staged columns of a record as they were read."""
+    return F.struct(*staging_columns(spec.staging))
+
+
+def record_id(spec: FactSpec, kept: Column | None = None) -> Column:
+    """A digest of :func:`record`, or of a column that kept it, null and '' told apart.
 
     It is the same whichever file, order or attempt of a task the record comes from; records
     that are equal throughout share it.
     """
-    text = F.to_json(F.struct(*staging_columns(spec.staging)), {"ignoreNullFields": "false"})
+    text = F.to_json(record(spec) if kept is None else kept, {"ignoreNullFields": "false"})
     return F.unhex(F.md5(text))
 
 

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starhouse.operators.constraints import stacked, violations
-from starhouse.operators.loading import LEVEL, RECORD_ID, build_country_dim, parsed, record_id, referenced, typed_staging
+from starhouse.operators.loading import LEVEL, RECORD_ID, build_country_dim, parsed, record, record_id, referenced, typed_staging
 from starhouse.operators.quality import inverted, repair_inverted
-from starhouse.operators.rules import rules, split, strict
+from starhouse.operators.rules import first_violation, rules, split, strict
 from starhouse.parallel import run_together
 from starhouse.plans.warehouse import REJECTS_SCHEMA, PublishedWarehouse, Stage
 from starhouse.profile import Profile
@@ -112,7 +112,7 @@ def refresh_core(
 
 
 def _named(spec: FactSpec, profile: Profile) -> bool:
-    """Whether typed rows keep their records' ids: only those of a fact that can have rejects."""
+    """Whether typed rows that are refused keep their records' ids: only those of a fact that can have rejects."""
     return bool(rules(spec, profile))
 
 
@@ -130,10 +130,14 @@ def _typed_once(spark: SparkSession, profile: Profile, stage: Stage, paths: dict
 
     def write(spec: FactSpec) -> None:
         seen, kept = Observation(), Observation()
-        staged, keep = stage(spec.staging), [RECORD_ID] if _named(spec, profile) else []
+        staged, keep = stage(spec.staging), ["_record"] if _named(spec, profile) else []
         if keep:
-            staged = staged.withColumn(RECORD_ID, record_id(spec))
+            staged = staged.withColumn("_record", record(spec))
         rows = parsed(staged, spec, profile, seen=seen, keep=keep).observe(kept, F.count("*").alias("n"))
+        if keep:
+            # Only rows that are refused are named by their record; its digest is costly, and does not compress.
+            refused = first_violation(spec, profile).isNotNull()
+            rows = rows.withColumn(RECORD_ID, F.when(refused, record_id(spec, F.col("_record")))).drop("_record")
         write_table(rows, paths[spec.name])
         counts[spec.staging] = seen.get["n_rows"], kept.get["n"]
 

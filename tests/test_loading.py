@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from starhouse import HEALTH
 from starhouse.operators.loading import build_country_dim, keyed_update, match_ignoring_case, record_id, with_outcome
 from starhouse.operators.rules import split, strict
-from starhouse.plans import core
+from starhouse.plans import core, refresh
 from starhouse.plans.refresh import SUMMARY_SCHEMA, RefreshRejected, changes, publish_repaired, refresh_core, replay_rejects, staging_gate
 from starhouse.plans.views import VIEWS, publish_views
 from starhouse.plans.warehouse import DerivedWarehouse, PublishedWarehouse
@@ -471,3 +471,14 @@ def test_a_replay_takes_only_what_was_refused(spark, staged, tmp_path):
     for rows in (nothing, unreadable):
         assert replay_rejects(spark, HEALTH, root, rows).version == first.version
     assert first.rejects().filter("record_id IS NULL").count() == 0
+
+
+def test_only_refused_rows_are_named_by_their_record(spark, staged, tmp_path):
+    paths = {spec.name: str(tmp_path / spec.name) for spec in FACTS}
+    refresh._typed_once(spark, HEALTH, staged, paths, 0.9)
+    _, refused = split(spark.read.parquet(paths[HEALTH_FACT.name]), HEALTH_FACT, HEALTH)
+    named = spark.read.parquet(paths[HEALTH_FACT.name]).filter("record_id IS NOT NULL")
+    ids = {bytes(r.record_id) for r in named.collect()}
+    assert named.count() == refused.count() > 0
+    records = staged(STG_HEALTH).withColumn("record_id", record_id(HEALTH_FACT)).collect()
+    assert ids < {bytes(r.record_id) for r in records}
