@@ -214,3 +214,71 @@ def test_a_replaced_word_of_a_short_item_is_found(spark, documents):
         assert (least <= plain.budget) == bool(got) and all(m["distance"] == least for m in got)
         found += bool(got)
     assert 50 < found < 400
+
+
+def spread(classes):
+    """The class of every slot and its turn, with the turns that return written out."""
+    seats = {}
+    for i, turn, step, slot, period, repeats in pf.turns(classes):
+        for n in range(repeats):
+            assert seats.setdefault(slot + n * period, (i, turn + n * step)) == (i, turn + n * step)
+    assert sorted(seats) == list(range(sum(n for _, n in classes)))
+    return [seats[t] for t in range(len(seats))]
+
+
+def class_lags(classes, seats):
+    """Largest lag of a class behind or before its share of a phase, and of the fluid schedule."""
+    weight, blocks = (np.array(x, dtype=float) for x in zip(*classes))
+    clock = np.unique(np.concatenate([[0], blocks / weight]))
+    sent = np.array([np.minimum(weight * v, blocks).sum() for v in clock])
+    done, had, due = np.zeros(len(weight)), np.zeros(len(weight)), np.zeros(len(weight))
+    phase = fluid = 0.0
+    for slot, (i, turn) in enumerate(seats, 1):
+        left = done < blocks
+        assert turn == done[i] and left[i]
+        due += np.where(left, weight, 0) / weight[left].sum()
+        done[i] += 1
+        had[i] += 1
+        phase = max(phase, np.abs(had - due)[left].max())
+        fluid = max(fluid, np.abs(np.minimum(weight * np.interp(slot, sent, clock), blocks) - done).max())
+        if done[i] == blocks[i]:
+            had[:], due[:] = 0, 0
+    return phase, fluid
+
+
+def test_every_class_is_within_one_block_of_its_share(monkeypatch):
+    draw = random.Random(3)
+    cases = [[(draw.randint(1, 60), draw.randint(1, 90)) for _ in range(draw.randint(1, 40))] for _ in range(30)]
+    sizes = Counter(max(1, int(4000 / (i + 1) ** 0.9)) for i in range(5000))
+    cases.append([(pf.tempered({0: n})[0] * m, -(-n // 16) * m) for n, m in sizes.items()])
+    for classes in cases:
+        seats = spread(classes)
+        phase, fluid = class_lags(classes, seats)
+        assert phase < 1 + 1e-9 and fluid < 2
+    few = [(3, 700), (5, 40), (3, 2000), (8, 900)]
+    whole = spread(few)
+    for slots in (1, 100, 10**9):
+        monkeypatch.setattr(pf, "_PERIOD_SLOTS", slots)
+        assert spread(few) == whole
+    monkeypatch.setattr(pf, "_PERIOD_SLOTS", 1)
+    assert sum(1 for _ in pf.turns([(1, 10**12), (2, 10**12)])) < 20
+
+
+def test_weights_do_not_depend_on_other_sources():
+    few = {"a": 40_000, "b": 900, None: 1}
+    many = few | {f"d{i}.org": 3 for i in range(5000)}
+    weights = pf.tempered(many)
+    assert pf.tempered(few) == {s: weights[s] for s in few}
+    assert weights["a"] == 200 * weights[None] and weights["b"] == 30 * weights[None]
+
+
+def test_many_sources_and_long_periods_keep_the_bound_of_few(documents):
+    """The same schedule past a thousand sources and two million slots a period."""
+    n = 1100
+    names = ["hot"] * 1200 + [f"d{i % n}.org" for i in range(2 * n + 300)] + [None] * 40 + [""] * 9
+    rows = [(i, f"t{i}", "en", s, 1, "x", "y", "z") for i, s in enumerate(names)]
+    lags_within_one(pf.mixed(documents(rows), block_rows=2).collect(), pf.tempered(Counter(names)), 2)
+    names = [f"s{i % 7 * (i % 3)}" for i in range(400)]
+    rows = [(i, f"t{i}", "en", s, 1, "x", "y", "z") for i, s in enumerate(names)]
+    parts = {s: 1_000_003 + 400_000 * i for i, s in enumerate(sorted(set(names)))}
+    lags_within_one(pf.mixed(documents(rows), lambda counts: parts, block_rows=2).collect(), parts, 2)
